@@ -168,7 +168,7 @@ def agg_max_insert(spark: SparkSession, d: str) -> DataFrame:
     return E.insertions(_selected(spark, d))
 
 
-_COLS = f"""{_INS}, cm as (select batch_id, pos, coalesce(ins, 0) as ins, coalesce(sum(1 + coalesce(ins, 0)) over (partition by batch_id order by pos rows between unbounded preceding and 1 preceding), 0)::bigint as col
+_COLS = f"""{_INS}, cm as materialized (select batch_id, pos, coalesce(ins, 0) as ins, coalesce(sum(1 + coalesce(ins, 0)) over (partition by batch_id order by pos rows between unbounded preceding and 1 preceding), 0)::bigint as col
     from (select batch_id, unnest(range(win_s::bigint, win_e::bigint)) as pos from w) left join ins using (batch_id, pos))"""
 
 

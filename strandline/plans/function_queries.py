@@ -28,7 +28,8 @@ def query(name: str, sql: str | None = None):  # noqa: ANN201
 
 
 def on_alignments(name: str, sql: str, **cols) -> None:  # noqa: ANN003
-    QUERIES[name] = lambda spark, d: table(spark, d, "alignments").select("aln_id", *[c.alias(k) for k, c in cols.items()])
+    """Columns as functions of nothing: none may be made before there is a session."""
+    QUERIES[name] = lambda spark, d: table(spark, d, "alignments").select("aln_id", *[c().alias(k) for k, c in cols.items()])
     ORACLE[name] = f"select aln_id, {sql} from alignments"
 
 
@@ -43,29 +44,29 @@ _CLIP = """case when {0}[{1}].op = 'H' then {0}[{1}].len + case when {0}[{2}].op
 SQL_CLIP = f"(({_CLIP.format('cigar', 1, 2)}) + ({_CLIP.format('list_reverse(cigar)', 1, 2)}))::bigint"
 SQL_MD = "len(regexp_extract_all(replace(regexp_replace(md, '[0-9]*[1-9][0-9]*', '|', 'g'), '0', ''), '[^|]+'))::int"
 
-on_alignments("fn_revcomp", f"{_REVCOMP.format('seq')} as rc", rc=S.revcomp("seq"))
+on_alignments("fn_revcomp", f"{_REVCOMP.format('seq')} as rc", rc=lambda: S.revcomp("seq"))
 on_alignments(
     "fn_orient", f"case when (flag & 16) <> 0 then {_REVCOMP.format('seq')} else seq end as plus_seq, case when (flag & 16) <> 0 then list_reverse(qual) else qual end as plus_qual",
-    plus_seq=S.plus_seq("seq", "flag"), plus_qual=S.plus_qual("qual", "flag"),
+    plus_seq=lambda: S.plus_seq("seq", "flag"), plus_qual=lambda: S.plus_qual("qual", "flag"),
 )
 on_alignments(
     "fn_hardclip_trim", f"case when {_LEAD} >= length(seq) - {_TRAIL} then '' else substr(seq, {_LEAD} + 1, length(seq) - {_LEAD} - {_TRAIL}) end as trimmed",
-    trimmed=S.hard_trim("seq", "cigar"),
+    trimmed=lambda: S.hard_trim("seq", "cigar"),
 )
-on_alignments("fn_md_condensed", f"{SQL_MD} as runs", runs=S.condensed_mismatches("md"))
+on_alignments("fn_md_condensed", f"{SQL_MD} as runs", runs=lambda: S.condensed_mismatches("md"))
 on_alignments(
     "fn_cigar_parse", "array_to_string(list_transform(cigar, lambda c: c.len::varchar || c.op), '') as cigar_text, len(cigar)::int as n_ops, list_sum(list_transform(cigar, lambda c: c.len))::bigint as total_len",
-    cigar_text=S.cigar_text("cigar"), n_ops=F.size(S.parse_cigar(S.cigar_text("cigar"))), total_len=S.cigar_sum(S.parse_cigar(S.cigar_text("cigar")), "MIDNSHP=X"),
+    cigar_text=lambda: S.cigar_text("cigar"), n_ops=lambda: F.size(S.parse_cigar(S.cigar_text("cigar"))), total_len=lambda: S.cigar_sum(S.parse_cigar(S.cigar_text("cigar")), "MIDNSHP=X"),
 )
-on_alignments("fn_ref_end", f"start0 + {sql_sum('MDN=X')} as ref_end", ref_end=S.ref_end("start0", "cigar"))
-on_alignments("fn_aln_len", f"{sql_sum('MI=X')} as aln_len", aln_len=S.aligned_len("cigar"))
-on_alignments("fn_read_len", f"{sql_sum('MISH=X')} as read_len", read_len=S.read_len("cigar"))
-on_alignments("fn_clip_len", f"{SQL_CLIP} as clip_len", clip_len=S.clip_len("cigar"))
-on_alignments("fn_clip_ratio", f"{SQL_CLIP}::double / nullif({sql_sum('MISH=X')}, 0) as clip_ratio", clip_ratio=S.clip_ratio("cigar"))
-on_alignments("fn_int_tag", "coalesce(try_cast(md as bigint), 0) as tag", tag=S.int_tag("md"))
-on_alignments("fn_mapq_code", "case when mapq = 255 then 0 else mapq end as code", code=S.mapq_code("mapq"))
-on_alignments("fn_quality_norm", "case when mapq >= 0 then (case when mapq = 255 then 0 else mapq end) / 60.0::double else mapq end as mq_norm", mq_norm=F.when(F.col("mapq") >= 0, S.mapq_code("mapq") / F.lit(60.0)).otherwise(F.col("mapq")))
-on_alignments("prj_drop_tags", "case when (flag & 2304) = 0 then md end as md, case when (flag & 2304) = 0 then nm end as nm, as_score", md=F.when(F.col("flag").bitwiseAND(codes.NOT_PRIMARY) == 0, F.col("md")), nm=F.when(F.col("flag").bitwiseAND(codes.NOT_PRIMARY) == 0, F.col("nm")), as_score=F.col("as_score"))
+on_alignments("fn_ref_end", f"start0 + {sql_sum('MDN=X')} as ref_end", ref_end=lambda: S.ref_end("start0", "cigar"))
+on_alignments("fn_aln_len", f"{sql_sum('MI=X')} as aln_len", aln_len=lambda: S.aligned_len("cigar"))
+on_alignments("fn_read_len", f"{sql_sum('MISH=X')} as read_len", read_len=lambda: S.read_len("cigar"))
+on_alignments("fn_clip_len", f"{SQL_CLIP} as clip_len", clip_len=lambda: S.clip_len("cigar"))
+on_alignments("fn_clip_ratio", f"{SQL_CLIP}::double / nullif({sql_sum('MISH=X')}, 0) as clip_ratio", clip_ratio=lambda: S.clip_ratio("cigar"))
+on_alignments("fn_int_tag", "coalesce(try_cast(md as bigint), 0) as tag", tag=lambda: S.int_tag("md"))
+on_alignments("fn_mapq_code", "case when mapq = 255 then 0 else mapq end as code", code=lambda: S.mapq_code("mapq"))
+on_alignments("fn_quality_norm", "case when mapq >= 0 then (case when mapq = 255 then 0 else mapq end) / 60.0::double else mapq end as mq_norm", mq_norm=lambda: F.when(F.col("mapq") >= 0, S.mapq_code("mapq") / F.lit(60.0)).otherwise(F.col("mapq")))
+on_alignments("prj_drop_tags", "case when (flag & 2304) = 0 then md end as md, case when (flag & 2304) = 0 then nm end as nm, as_score", md=lambda: F.when(F.col("flag").bitwiseAND(codes.NOT_PRIMARY) == 0, F.col("md")), nm=lambda: F.when(F.col("flag").bitwiseAND(codes.NOT_PRIMARY) == 0, F.col("nm")), as_score=lambda: F.col("as_score"))
 
 
 @query("fn_hash_id")

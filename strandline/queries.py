@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.operators.key_quantiles import key_quantiles
-from strandline.plans import alignment_queries, depth_queries, function_queries, fusion_queries
+from strandline.plans import alignment_queries, depth_queries, function_queries, fusion_queries, io_queries
 from strandline.runtime import table
 
 #: A key with at least this part of all rows is reported as hot.
@@ -48,6 +48,6 @@ ORACLE = {
     "p2_norm_quantiles": _quartiles("norm"),
 }
 
-for _part in (function_queries, alignment_queries, depth_queries, fusion_queries):
+for _part in (function_queries, alignment_queries, depth_queries, fusion_queries, io_queries):
     QUERIES |= _part.QUERIES
     ORACLE |= _part.ORACLE
