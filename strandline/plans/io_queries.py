@@ -226,12 +226,12 @@ def flt_col_support(spark: SparkSession, d: str) -> DataFrame:
     return v.join(s.groupBy("batch_id").agg(F.count("*").alias("depth")), "batch_id").filter("variants >= greatest(2, 0.01 * depth)").select("batch_id", "col", "variants", "depth")
 
 
-@query("udf_tensor_features", f"with {AQ._CELLS} select batch_id, platform, col::bigint as col, count(*) as n, round(avg(case when bq >= 0 then bq / 40.0::double else bq end), 4) as bq from cell group by 1, 2, 3")
+@query("udf_tensor_features", f"with {AQ._CELLS} select batch_id, platform, col::bigint as col, count(*) as n, round(sum(case when bq >= 0 then bq else 40 * bq end)::double / (40 * count(*)), 6) as bq from cell group by 1, 2, 3")
 def udf_tensor_features(spark: SparkSession, d: str) -> DataFrame:
     """Mean normalised base quality of every column; pads and deletions keep their negative marks."""
     s, w = AQ._selected(spark, d), AQ.windows(spark, d)
-    c = E.cells(s, E.columns(w, E.insertions(s))).withColumn("b", F.when(F.col("bq") >= 0, F.col("bq") / 40).otherwise(F.col("bq").cast("double")))
-    return c.groupBy("batch_id", "platform", "col").agg(F.count("*").alias("n"), F.round(F.avg("b"), 4).alias("bq"))
+    c = E.cells(s, E.columns(w, E.insertions(s))).withColumn("b", F.when(F.col("bq") >= 0, F.col("bq")).otherwise(F.col("bq") * 40))
+    return c.groupBy("batch_id", "platform", "col").agg(F.count("*").alias("n"), F.round(F.sum("b").cast("double") / (F.count("*") * 40), 6).alias("bq"))
 
 
 @query("agg_norm_max", """with lc as (select arg_max(contig, (len, -contig_idx)) as contig, arg_max(len, (len, -contig_idx)) as len from contigs), r as (select *, row_number() over (partition by platform order by start0, aln_id) as rn
