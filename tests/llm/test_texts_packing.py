@@ -110,7 +110,7 @@ def speeches():
         kind = i % 10
         if src == "feed" and len(x) > 300:
             x = x[:300]
-            if x[-1] != ".":
+            if not x.rstrip().endswith("."):
                 cut.add(i)
         elif kind == 0:
             x, _ = x[: rng.randint(20, 60)].rstrip(".") + "qz", cut.add(i)
