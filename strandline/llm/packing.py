@@ -8,6 +8,7 @@ container: the source that lags most behind its share gives its longest item tha
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable
 
 import numpy as np
@@ -40,32 +41,51 @@ class _Queue:
         return p
 
 
-def drr_pack(pieces: dict[object, list[tuple[int, int, int, int, int]]], shares: dict[object, float], deficit: dict[object, float], capacity: int) -> list[tuple]:
-    """(item, piece, n_pieces, start, length, container, offset) of the pieces; deficit is where the sources stand at the start."""
-    queues = {s: _Queue(p, capacity) for s, p in pieces.items()}
-    deficit, out, container = dict(deficit), [], 0
-    waiting = sum(map(len, pieces.values()))
-    while waiting:
-        for s, share in shares.items():
-            deficit[s] = deficit.get(s, 0.0) + share * capacity
-        room = capacity
-        while waiting:
-            best, pick = None, 0
-            for s, q in queues.items():
-                if (length := q.longest(room)) > 0 and (best is None or deficit[s] > deficit[best]):
-                    best, pick = s, length
-            if best is None:
-                break
-            # the lagging source goes first; the last gap goes to whoever fills it best
-            if room < capacity // 4:
-                best, pick = max(((s, q.longest(room)) for s, q in queues.items()), key=lambda x: (x[1], deficit[x[0]]))
-            out.append((*queues[best].take(pick), container, capacity - room))
-            deficit[best] -= pick
-            room -= pick
-            waiting -= 1
-        left = room / len(shares)
-        for s in shares:
-            deficit[s] -= left
+def drr_pack(pieces: dict[object, list[tuple[int, int, int, int, int]]], shares: dict[object, float], deficit: dict[object, float], capacity: int, served: int = 32) -> list[tuple]:
+    """(item, piece, n_pieces, start, length, container, offset) of the pieces; deficit is where the sources stand at the start.
+
+    In every container the sources that are owed most, ``served`` of them at most, take turns until it is three quarters full; the rest goes to
+    the longest piece of any source that fits, of the source that is owed most among equals.
+    """
+    names = list(pieces)
+    queues = [_Queue(pieces[s], capacity) for s in names]
+    share, owed = np.array([shares[s] for s in names]), np.array([deficit.get(s, 0.0) for s in names])
+    has = np.array([q.mask > 0 for q in queues], bool)
+    with_length: list[set[int]] = [set() for _ in range(capacity + 1)]
+    any_length = 0
+    for i, q in enumerate(queues):
+        any_length |= q.mask
+        for n in range(1, capacity + 1):
+            if q.mask >> n & 1:
+                with_length[n].add(i)
+    out, container, waiting = [], 0, sum(map(len, pieces.values()))
+
+    def give(i: int, length: int, room: int) -> int:
+        nonlocal any_length
+        out.append((*queues[i].take(length), container, capacity - room))
+        if not queues[i].mask >> length & 1:
+            with_length[length].discard(i)
+            if not with_length[length]:
+                any_length &= ~(1 << length)
+            has[i] = queues[i].mask > 0
+        owed[i] -= length
+        return room - length
+
+    while waiting > len(out):
+        owed += share * capacity
+        room, k = capacity, min(served, int(has.sum()))
+        first = np.argpartition(np.where(has, -owed, np.inf), k - 1)[:k].tolist()
+        turn = [(-owed[i], i) for i in first]
+        heapq.heapify(turn)
+        while turn and room * 4 >= capacity:
+            _, i = heapq.heappop(turn)
+            if (length := queues[i].longest(room)) > 0:
+                room = give(i, length, room)
+                if has[i]:
+                    heapq.heappush(turn, (-owed[i], i))
+        while (length := (any_length & ((1 << (room + 1)) - 1)).bit_length() - 1) > 0:
+            room = give(max(with_length[length], key=lambda i: (owed[i], -i)), length, room)
+        owed -= room / len(names)
         container += 1
     return out
 
