@@ -45,10 +45,30 @@ def coverage(df: DataFrame, contig: str = "contig", start: str = "start0", end:
     return run.filter("depth > 0 and end is not null").select("contig", F.col("pos").alias("start"), "end", "depth")
 
 
+def stretches(df: DataFrame, contig: str, start: str, end: str, gap: int = 0, chunk: int = 1 << 20) -> DataFrame:
+    """df with head: the first start of the stretch of rows a row lies in. A stretch ends where the next start is more than gap behind every end so far.
+
+    Two levels: the furthest end and the last head of each chunk of a contig are carried over its chunks, of which it has few; rows are sorted within a
+    chunk only, so that no task holds a whole contig. Null contigs form one contig; start and end must not be null. df is read three times.
+    """
+    a = df.withColumn("__chunk", F.floor(F.col(start) / chunk))
+    inner = Window.partitionBy(contig, "__chunk").orderBy(start, end)
+
+    def carried(rows: DataFrame, value: Column, name: str) -> DataFrame:
+        per = rows.groupBy(F.col(contig).alias("__c"), F.col("__chunk").alias("__k")).agg(F.max(value).alias("__m"))
+        w = Window.partitionBy("__c").orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
+        per = per.select("__c", "__k", F.max("__m").over(w).alias(name))
+        return rows.join(per, rows[contig].eqNullSafe(F.col("__c")) & (rows["__chunk"] == F.col("__k"))).drop("__c", "__k")
+
+    a = carried(a, F.col(end), "__reach")
+    reach = F.greatest("__reach", F.max(end).over(inner.rowsBetween(Window.unboundedPreceding, -1)))
+    a = a.withColumn("__first", F.when(F.coalesce(F.col(start) > reach + gap, F.lit(True)), F.col(start))).drop("__reach")
+    # heads grow along a contig, so the last one is the greatest
+    a = carried(a, F.col("__first"), "__head")
+    return a.withColumn("head", F.greatest("__head", F.max("__first").over(inner.rowsBetween(Window.unboundedPreceding, 0)))).drop("__head", "__first", "__chunk")
+
+
 def islands(df: DataFrame, contig: str, pos: str, merge_dist: int = 20) -> DataFrame:
     """(contig, pos, island): distinct positions, numbered by the first position of the stretch in which no gap exceeds merge_dist."""
     d = df.filter(F.col(contig).isNotNull() & F.col(pos).isNotNull()).select(F.col(contig).alias("contig"), F.col(pos).cast("bigint").alias("pos")).distinct()
-    w = Window.partitionBy("contig").orderBy("pos")
-    new = F.coalesce(F.col("pos") - F.lag("pos").over(w) > merge_dist, F.lit(True))
-    d = d.withColumn("first", F.when(new, F.col("pos")))
-    return d.select("contig", "pos", F.last("first", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("island"))
+    return stretches(d, "contig", "pos", "pos", merge_dist).select("contig", "pos", F.col("head").alias("island"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from functools import reduce
@@ -35,6 +37,24 @@ def scratch_dir(spark: SparkSession) -> str:
     return _own_scratch[app]
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each application, as the driver's import path isn't theirs."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = scratch_dir(spark).removeprefix("file://")
+    # Spark serves the archive to its executors itself, so the driver's own folder will do where the scratch folder has no path
+    folder = tempfile.mkdtemp(prefix="spark-") if "://" in root else root
+    os.makedirs(folder, exist_ok=True)
+    home = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(f"{folder}/package-{uuid.uuid4().hex}", "zip", os.path.dirname(home), os.path.basename(home))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write df to the shared scratch folder and read it back: the plan is cut, and the files outlive executors."""
     spark = df.sparkSession

@@ -1,11 +1,14 @@
+import os
 import random
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
 from strandline.functions import probability as P
 from strandline.functions import sequence as S
-from strandline.operators import fusion
+from strandline.operators import fusion, intervals
 from strandline.operators.clusters import cluster_windows, merge_island
 from strandline.operators.intervals import coverage, overlap_join
 from strandline.operators.pileup import repeat_lengths
@@ -144,3 +147,31 @@ def test_entry_names():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_stretches_equal_a_sweep_over_the_whole_contig(spark):
+    rng = random.Random(5)
+    for gap, chunk in ((0, 8), (3, 8), (20, 64), (3, 1 << 20)):
+        rows = [(rng.choice(["a", "b", None]), i, s := rng.randrange(400), s + rng.choice([0, 0, 1, 5, 60])) for i in range(120)]
+        got = {r["i"]: r["head"] for r in intervals.stretches(spark.createDataFrame(rows, "contig string, i int, s bigint, e bigint"), "contig", "s", "e", gap, chunk).collect()}
+        want, reach, head, contig = {}, None, None, 0
+        for c, i, s, e in sorted(rows, key=lambda r: (r[0] or "", r[2], r[3])):
+            if c != contig or s > reach + gap:
+                reach, head, contig = e, s, c
+            want[i], reach = head, max(reach, e)
+        assert got == want
+    assert intervals.stretches(spark.createDataFrame([], "contig string, s bigint, e bigint"), "contig", "s", "e").count() == 0
+
+
+def test_workers_get_the_package_when_the_driver_runs_elsewhere(tmp_path):
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""import sys; sys.path.insert(0, {home!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate()
+from strandline.operators.clusters import cluster_windows
+from strandline.runtime import ship_package
+ship_package(spark)
+print("windows", cluster_windows(spark.createDataFrame([("a", 100), ("a", 110)], "c string, p int"), "c", "p").count())"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert "windows 1" in out.stdout, out.stderr[-2000:]
