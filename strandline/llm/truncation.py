@@ -3,7 +3,7 @@
 Per source, histograms of the length in characters and in bytes are tested for spikes with a drop behind them: such a
 length is a limit, and a text of that length without a terminal stop was cut by it. Transfers break at any length; there, and for
 the marks and lines that stand behind a break, the corpus itself tells what a whole ending looks like: lines that also stand
-without a stop inside other texts are whole, brackets that only ever end a text are marks of the transfer, and sources
+without a stop inside other texts are whole, and so are signatures, which end many texts under an opening that no sentence has; brackets that only ever end a text are marks of the transfer, and sources
 whose texts commonly have no stops are notes, in which a whole last word is enough.
 """
 
@@ -41,6 +41,10 @@ def _edges(line: Column) -> Column:
     return F.when(F.size(raw) > 4, long_).when(F.size(raw) > 2, F.concat_ws(" ", words)).otherwise(F.regexp_replace(line, r"\d+", "#"))
 
 
+def _opening(line: Column) -> Column:
+    return F.concat_ws(" ", F.slice(F.split(_masked(line), r"\s+"), 1, 2))
+
+
 def _lines(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, r"[\r\n]+"), lambda x: F.regexp_replace(x, r"^\s+|" + TAIL, "")), lambda x: x != "")
 
@@ -81,7 +85,15 @@ def detect_truncation(df: DataFrame, ident: str = "doc_id", source: str = "sourc
     stops = F.regexp_count("text", _rx(INNER_STOP)) > 0
     inner = docs.filter(F.col("text").rlike(r"[\r\n]") & stops).select(F.explode(F.slice(lines, 1, F.greatest(F.size(lines) - 1, F.lit(0)))).alias("line"))
     forms = inner.filter(~_whole(F.col("line"))).groupBy(_edges(F.col("line")).alias("form")).agg(F.count("*").alias("n_inner")).filter(F.col("n_inner") >= least_lines)
-    forms = materialize(forms, "cut_forms")
+    # forms that only end texts, in several wordings and under an opening that no sentence has: signatures
+    multiline = docs.filter(F.col("text").rlike(r"[\r\n]") & stops)
+    signed = multiline.select(F.try_element_at(lines, F.lit(-1)).alias("line")).filter(~_whole(F.col("line"))).groupBy(_edges(F.col("line")).alias("form"), _opening(F.col("line")).alias("opening"))
+    signed = materialize(signed.agg(F.countDistinct("line").alias("n")).filter(F.col("n") >= least_lines), "cut_signed")
+    openings = signed.select("opening").distinct()
+    sentences = multiline.select(F.explode(lines).alias("line")).filter(_whole(F.col("line"))).select(_opening(F.col("line")).alias("opening"))
+    sentences = sentences.join(F.broadcast(openings) if signed.count() <= BROADCAST_ROWS else openings, "opening", "left_semi").groupBy("opening").agg(F.count("*").alias("n_whole"))
+    signed = signed.join(sentences, "opening", "left").filter("10 * coalesce(n_whole, 0) <= n")
+    forms = materialize(forms.select("form").unionByName(signed.select("form")).distinct(), "cut_forms")
 
     # brackets that end texts of one source and stand nowhere else: marks of the transfer
     body = F.regexp_replace("text", TAIL, "")

@@ -137,3 +137,17 @@ def test_truncation(spark):
     rep = {r["source"]: r for r in truncation_report(df, found).collect()}
     assert rep["feed"]["truncated"] == len([i for i in cut if i < 400 and i % 2]) and rep[None]["texts"] == 2
     assert detect_truncation(df.limit(0), "doc_id", "source", "text").count() == 0
+
+
+def test_signatures_end_whole_texts(spark):
+    names = ["Mr Alder", "Ms Birch", "Anna Cedar", "Mr Elm", "Ms Fir"]
+    speech = "We agree with the chair. Nothing else was asked of us."
+    rows = [(i, "a", f"{speech}\n{n}, clerk of the sitting") for i, n in enumerate(names)]
+    # behind a lost end the same line hides nothing; one wording delivered often is no signature, nor is a form that sentences open with
+    rows += [(10, "a", f"{speech} But then the min\n{names[0]}, clerk of the sitting")]
+    rows += [(20 + i, "a", f"{speech}\nThe report on page four says that the") for i in range(4)]
+    rows += [(30 + i, "a", f"{speech}\nWe ask {w} of the house to think of the") for i, w in enumerate(["members", "friends", "guests"])]
+    rows += [(40 + i, "a", f"{speech}\nWe ask {w} for patience.\n{speech}") for i, w in enumerate("bcdef")]
+    rows += [(50, "a", " \n ."), (51, "a", "One. Two.\n \n"), (52, "a", None)]
+    found = detect_truncation(spark.createDataFrame(rows, "doc_id bigint, source string, text string"), "doc_id", "source", "text")
+    assert sorted(r["doc_id"] for r in found.collect()) == [10, 20, 21, 22, 23, 30, 31, 32]
