@@ -42,7 +42,7 @@ def _edges(line: Column) -> Column:
 
 
 def _opening(line: Column) -> Column:
-    return F.concat_ws(" ", F.slice(F.split(_masked(line), r"\s+"), 1, 2))
+    return F.concat_ws(" ", F.slice(F.split(_masked(F.regexp_extract(line, r"^(?:\S+\s+){0,3}\S+", 0)), r"\s+"), 1, 2))
 
 
 def _lines(text: Column) -> Column:
@@ -90,8 +90,8 @@ def detect_truncation(df: DataFrame, ident: str = "doc_id", source: str = "sourc
     signed = multiline.select(F.try_element_at(lines, F.lit(-1)).alias("line")).filter(~_whole(F.col("line"))).groupBy(_edges(F.col("line")).alias("form"), _opening(F.col("line")).alias("opening"))
     signed = materialize(signed.agg(F.countDistinct("line").alias("n")).filter(F.col("n") >= least_lines), "cut_signed")
     openings = signed.select("opening").distinct()
-    sentences = multiline.select(F.explode(lines).alias("line")).filter(_whole(F.col("line"))).select(_opening(F.col("line")).alias("opening"))
-    sentences = sentences.join(F.broadcast(openings) if signed.count() <= BROADCAST_ROWS else openings, "opening", "left_semi").groupBy("opening").agg(F.count("*").alias("n_whole"))
+    sentences = multiline.select(F.explode(lines).alias("line")).withColumn("opening", _opening(F.col("line")))
+    sentences = sentences.join(F.broadcast(openings) if signed.count() <= BROADCAST_ROWS else openings, "opening", "left_semi").groupBy("opening").agg(F.count_if(_whole(F.col("line"))).alias("n_whole"))
     signed = signed.join(sentences, "opening", "left").filter("10 * coalesce(n_whole, 0) <= n")
     forms = materialize(forms.select("form").unionByName(signed.select("form")).distinct(), "cut_forms")
 
