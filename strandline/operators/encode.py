@@ -11,10 +11,10 @@ from strandline.operators.intervals import overlap_join, overlap_len
 
 
 def window_reads(reads: DataFrame, windows: DataFrame, min_mq: int = 1) -> DataFrame:
-    """Usable reads joined to the windows whose targets they overlap (t_min, t_max: first and last target position)."""
-    w = windows.select("batch_id", F.col("chrom").alias("w_chrom"), "win_s", "win_e", F.array_min("targets_ref_pos").alias("t_min"), F.array_max("targets_ref_pos").alias("t_max")).filter("t_min < t_max")
-    pairs = overlap_join(usable_reads(reads, min_mq), w, r_contig="w_chrom", r_start="t_min", r_end="t_max")
-    return pairs.withColumn("win_overlap", overlap_len(F.col("start0"), F.col("end0"), F.col("win_s").cast("bigint"), F.col("win_e").cast("bigint")))
+    """Usable reads joined to the windows they reach into whose core (core_s, core_e: half-open) they overlap, whatever targets encoding finds there."""
+    w = windows.select("batch_id", F.col("chrom").alias("w_chrom"), "win_s", "win_e", "core_s", "core_e")
+    pairs = overlap_join(usable_reads(reads, min_mq), w, r_contig="w_chrom", r_start="core_s", r_end="core_e")
+    return pairs.withColumn("win_overlap", overlap_len(F.col("start0"), F.col("end0"), F.col("win_s").cast("bigint"), F.col("win_e").cast("bigint"))).filter("win_overlap > 0")
 
 
 def select_reads(pairs: DataFrame, depth: int = 30) -> DataFrame:
