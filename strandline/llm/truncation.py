@@ -53,6 +53,11 @@ def _whole(line: Column) -> Column:
     return F.regexp_like(line, _rx(STOP)) | F.regexp_like(line, _rx(DASH)) | F.regexp_like(line, _rx(STAGE))
 
 
+def _said(line: Column) -> Column:
+    """Whether a line is a sentence with its end or a stage direction; other lines all in brackets may be marks."""
+    return F.regexp_like(line, _rx(STAGE)) | (F.regexp_like(line, _rx(STOP)) | F.regexp_like(line, _rx(DASH))) & ~F.regexp_like(line, _rx(r"^[\[(].*[\])]$"))
+
+
 def length_spikes(df: DataFrame, source: str, text: str, least: int = 5, factor: float = 8.0, around: int = 50) -> DataFrame:
     """(source, unit, length, n, expected): lengths, in chars and bytes, at which texts of a source pile up with a drop behind.
 
@@ -69,22 +74,28 @@ def length_spikes(df: DataFrame, source: str, text: str, least: int = 5, factor:
     return hist.filter((F.col("n") >= least) & (F.col("n") >= factor * F.col("expected")) & (F.col("after") <= F.col("before") + F.col("n") * 0.05)).select("source", "unit", "length", "n", "expected")
 
 
-def detect_truncation(df: DataFrame, ident: str = "doc_id", source: str = "source", text: str = "text", least_lines: int = 3, note_share: float = 0.15) -> DataFrame:
+def detect_truncation(df: DataFrame, ident: str = "doc_id", source: str = "source", text: str = "text", least_lines: int = 3, note_share: float = 0.15, least_share: float = 3e-5) -> DataFrame:
     """(ident, source, at_limit, evidence): the texts that lost their end, each row of df on its own.
 
     at_limit says that the length is a spike of the source. evidence is 'limit', 'mark' (a transfer mark stands behind the break),
     'character' (a broken character ends the text), 'sentence' or 'word'. Null, empty and blank texts are never truncated; a null source is a
     source of its own. A row with a null ident is kept. An empty df gives no rows. Other columns are ignored.
+    A form of a line is known once least_lines texts have it, and least_share of all texts.
     """
     name, src_name = df.schema[ident].name, df.schema[source].name
     docs = df.select(F.col(ident).alias("id"), F.coalesce(F.col(source), F.lit("\0none")).alias("src"), F.col(text).alias("text")).filter(F.regexp_like("text", _rx(r"\S")))
     spikes = materialize(length_spikes(docs, "src", "text"), "cut_spikes")
     lines = _lines(F.col("text"))
 
-    # forms of lines that stand without a stop inside punctuated texts: clerks' lines, counts, table rows
+    # forms of lines that stand without a stop inside punctuated texts: clerks' lines, counts, table rows. Only lines with a sentence behind
+    # them count: what is followed by marks or clerks' lines alone may be cut itself. Copies and reissues share their opening and count once
     stops = F.regexp_count("text", _rx(INNER_STOP)) > 0
-    inner = docs.filter(F.col("text").rlike(r"[\r\n]") & stops).select(F.explode(F.slice(lines, 1, F.greatest(F.size(lines) - 1, F.lit(0)))).alias("line"))
-    forms = inner.filter(~_whole(F.col("line"))).groupBy(_edges(F.col("line")).alias("form")).agg(F.count("*").alias("n_inner")).filter(F.col("n_inner") >= least_lines)
+    inner = docs.filter(F.col("text").rlike(r"[\r\n]") & stops)
+    inner = inner.select(F.substring("text", 1, 40).alias("head"), F.transform(lines, lambda x: F.struct(x.alias("line"), _said(x).alias("said"))).alias("lines"))
+    last_said = F.coalesce(F.array_max(F.transform("lines", lambda x, i: F.when(x["said"], i))), F.lit(0))
+    inner = inner.select("head", F.explode(F.slice("lines", 1, last_said)).alias("x")).filter("not x.said").select("head", F.col("x.line").alias("line"))
+    least = max(least_lines, int(least_share * df.count()))
+    forms = inner.filter(~_whole(F.col("line"))).groupBy(_edges(F.col("line")).alias("form")).agg(F.countDistinct("head").alias("n_inner")).filter(F.col("n_inner") >= least)
     # forms that only end texts, in several wordings and under an opening that no sentence has: signatures
     multiline = docs.filter(F.col("text").rlike(r"[\r\n]") & stops)
     signed = multiline.select(F.try_element_at(lines, F.lit(-1)).alias("line")).filter(~_whole(F.col("line"))).groupBy(_edges(F.col("line")).alias("form"), _opening(F.col("line")).alias("opening"))
@@ -137,7 +148,7 @@ def detect_truncation(df: DataFrame, ident: str = "doc_id", source: str = "sourc
     tail = open_.select("uid", F.posexplode("tail").alias("i", "line")).withColumn("form", _edges(F.col("line")))
     tail = lookup(tail, "form", forms.withColumnRenamed("form", "known"), "known")
     cut = tail.filter("known is null").groupBy("uid").agg(F.max_by("line", "i").alias("line"), F.count("*").alias("n_open"))
-    cut = open_.drop("tail").join(cut, "uid", "left").filter("line is not null or broken or dots")
+    cut = open_.drop("tail").join(cut, "uid", "left").filter("line is not null or broken or dots or at_limit")
     cut = lookup(cut, "src", style, "style_source")
     note = ~F.col("stops") & (F.col("small") | (F.col("n_open") > 1) | (F.col("plain") >= note_share) & (F.col("n_lines") > 1))
     capitals = ~F.col("line").rlike(r"\p{Ll}") & F.col("line").rlike(r"\p{Lu}.*\s.*\p{Lu}")

@@ -151,3 +151,33 @@ def test_signatures_end_whole_texts(spark):
     rows += [(50, "a", " \n ."), (51, "a", "One. Two.\n \n"), (52, "a", None)]
     found = detect_truncation(spark.createDataFrame(rows, "doc_id bigint, source string, text string"), "doc_id", "source", "text")
     assert sorted(r["doc_id"] for r in found.collect()) == [10, 20, 21, 22, 23, 30, 31, 32]
+
+
+def test_cut_lines_and_copies_make_no_known_form(spark):
+    topics = ["Alder", "Birch", "Cedar", "Elm"]
+    speech = "Nothing was said on {} by the chair. Nothing else was asked of us."
+    line = "We shall ask {} of the house for no"
+    # a transfer mark on a line of its own stands behind the cut line
+    rows = [(i, "a", f"{speech.format(t)}\n{line.format(t)}\n(stream closed by operator)") for i, t in enumerate(topics)]
+    # copies and a reissue hold the same line further up: one text
+    told = speech.format("Fir") + "\nThey put {} to the members with\n" + speech.format("Fir")
+    rows += [(10 + i, "a", told.format("it")) for i in range(3)] + [(13, "a", told.format("this"))]
+    rows += [(14, "a", speech.format("Gorse") + "\nThey put that to the members with")]
+    # several texts with a clerk's line amid sentences make it known; at a limit it hides no cut
+    rows += [(20 + i, "a", f"{t} spoke. Nothing else was asked.\nPaper No. {i} laid\nThe house went on.") for i, t in enumerate(topics)]
+    rows += [(30, "a", speech.format("Hazel") + "\nPaper No. 9 laid")]
+    stem = "The house sat. "
+    rows += [(40 + i, "b", (stem + f"{chr(97 + i)} " * 60)[:80].rstrip() + "x" * (80 - len((stem + f"{chr(97 + i)} " * 60)[:80].rstrip()))) for i in range(8)]
+    rows += [(50, "b", stem + "It rose." + "\nPaper No. 5 laid".rjust(80 - len(stem + "It rose."), "\n"))]
+    rows += [(60 + i, "b", stem * 2 + "Y" * i + ".") for i in range(8)]
+    found = detect_truncation(spark.createDataFrame(rows, "doc_id bigint, source string, text string"), "doc_id", "source", "text")
+    assert sorted(r["doc_id"] for r in found.collect()) == [0, 1, 2, 3, 14, *range(40, 48), 50]
+
+
+def test_known_forms_are_relative_to_the_corpus(spark):
+    rows = [(i, "a", f"Speaker {i} spoke. Nothing else was asked.\nThe chair of item {i} put it to the\nThe house went on.") for i in range(3)]
+    rows += [(9, "a", "One. Two.\nThe chair of item 9 put it to the")]
+    rows += [(100 + i, "a", f"Text {i}. It is whole.") for i in range(96)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    assert [r["doc_id"] for r in detect_truncation(df, least_share=0.04).collect()] == [9]
+    assert detect_truncation(df, least_share=0.03).count() == 0
