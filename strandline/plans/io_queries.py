@@ -100,6 +100,14 @@ def src_depth(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "depth_norm").filter("contig = 'ctg000003l' and pos >= 100000 and pos < 600000").select("archive_id", "pos", "norm").distinct()
 
 
+@query("src_depth_windows", f"with {_WINDOWS} select distinct batch_id, archive_id, pos, norm from w join depth_norm d on d.contig = w.chrom and pos >= win_s and pos < win_e")
+def src_depth_windows(spark: SparkSession, d: str) -> DataFrame:
+    """The depth vectors of every window of the work list, on all contigs; a contig that isn't there has no rows."""
+    w = table(spark, d, "encoded_batches").select("batch_id", "chrom", "win_s", "win_e").distinct()
+    v = table(spark, d, "depth_norm").filter("contig is not null").select("archive_id", "contig", "pos", "norm").distinct()
+    return overlap_join(v.withColumn("next", F.col("pos") + 1), w, start="pos", end="next").select("batch_id", "archive_id", "pos", "norm")
+
+
 @query("snk_depth", "select archive_id, sample_id, run_day, global_median, n.n, n.norm_sum from depth_meta join (select archive_id, count(*) as n, round(sum(norm::double), 3) as norm_sum from depth_norm where contig is not null group by 1) n using (archive_id)")
 def snk_depth(spark: SparkSession, d: str) -> DataFrame:
     """Vectors, by contig, and metadata as two tables, read again."""
