@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline import codes
 from strandline.functions import sequence as S
 from strandline.operators.alignment_filter import usable_reads
 from strandline.operators.intervals import overlap_join, overlap_len
@@ -20,17 +21,19 @@ def window_reads(reads: DataFrame, windows: DataFrame, min_mq: int = 1) -> DataF
 def select_reads(pairs: DataFrame, depth: int = 30) -> DataFrame:
     """At most depth reads for each window and platform, with their row number in order of start.
 
-    A read that is no backbone and lies inside a trusted backbone interval is dropped; the intervals of a window are collected as an array, which the
-    reads of one window bound. The score takes the mean aligned length before that. Ties go by the smaller aln_id.
+    A read that is no backbone and lies inside a trusted backbone interval is dropped: in order of start, the furthest trusted end among the intervals that
+    begin no later tells it, so a window may have any number of reads. The score takes the mean aligned length before that. Ties go by the smaller aln_id.
     """
     group = Window.partitionBy("batch_id", "platform")
-    trusted = F.when(F.col("backbone") & (F.col("end0") - F.col("start0") > 2 * F.col("trust")), F.struct((F.col("start0") + F.col("trust")).alias("s"), (F.col("end0") - F.col("trust")).alias("e")))
-    p = pairs.withColumn("mean_len", F.avg("aln_len").over(group)).withColumn("trusted", F.collect_list(trusted).over(group))
-    inside = F.exists("trusted", lambda t: (t["s"] <= F.col("start0")) & (t["e"] >= F.col("end0")))
-    p = p.filter(F.col("backbone") | ~inside)
+    trusted = F.col("backbone") & (F.col("end0") - F.col("start0") > 2 * F.col("trust"))
+    begun = group.orderBy(F.col("start0").cast("bigint"))
+    # an interval begins trust behind its read, so each value of trust has its own frame
+    reach = [F.max(F.when(trusted & (F.col("trust") == t), F.col("end0") - t)).over(begun.rangeBetween(Window.unboundedPreceding, -t)) for t in sorted({v[-1] for v in codes.READ_LIMITS.values()})]
+    p = pairs.withColumn("mean_len", F.avg("aln_len").over(group)).withColumn("reach", F.greatest(*reach))
+    p = p.filter(F.col("backbone") | F.coalesce(F.col("reach") < F.col("end0"), F.lit(True)))
     p = p.withColumn("score", F.col("win_overlap") - F.col("clip_ratio") * 100 + F.col("aln_len") / F.col("mean_len") + F.col("mapq"))
     p = p.withColumn("rank", F.row_number().over(group.orderBy(F.desc(F.round("score", 6)), "aln_id"))).filter(F.col("rank") <= depth)
-    return p.withColumn("row", F.row_number().over(group.orderBy("start0", "aln_id")) - 1).drop("trusted")
+    return p.withColumn("row", F.row_number().over(group.orderBy("start0", "aln_id")) - 1).drop("reach")
 
 
 def insertions(selected: DataFrame, max_insert: int = 15) -> DataFrame:

@@ -1,4 +1,6 @@
-from strandline.operators.encode import window_reads
+import random
+
+from strandline.operators.encode import select_reads, window_reads
 
 READ = "aln_id bigint, contig string, start0 bigint, end0 bigint, flag int, mapq int, platform string, cigar array<struct<op:string,len:int>>"
 WINDOW = "batch_id bigint, chrom string, win_s int, win_e int, core_s int, core_e int, targets_ref_pos array<int>"
@@ -21,3 +23,18 @@ def test_reads_come_by_core_not_by_targets(spark):
     # the core is half-open: read 3 ends where it begins, read 6 starts where it ends; a read must also reach into its window
     whole = {1: 60, 2: 60, 5: 51}
     assert got == {1: whole, 2: whole, 3: whole, 4: whole, 6: {1: 60}}
+
+
+def test_contained_reads_against_brute_force_without_an_array(spark):
+    rng = random.Random(7)
+    rows = []
+    for i in range(400):
+        platform = rng.choice(["ILLUMINA", "NANOPORE"])
+        start = rng.randrange(0, 200, 5)
+        rows.append((rng.randrange(4), platform, i, start, start + rng.randrange(5, 300, 5), 5 if platform == "ILLUMINA" else 50, rng.random() < 0.3, 100, 0.0, 60, 10))
+    df = spark.createDataFrame(rows, "batch_id bigint, platform string, aln_id bigint, start0 bigint, end0 bigint, trust int, backbone boolean, aln_len int, clip_ratio double, mapq int, win_overlap bigint")
+    got = select_reads(df, depth=1000)
+    trusted = [(b, p, s + t, e - t) for b, p, _, s, e, t, backbone, *_ in rows if backbone and e - s > 2 * t]
+    kept = {i for b, p, i, s, e, _, backbone, *_ in rows if backbone or not any((b, p) == x[:2] and x[2] <= s and x[3] >= e for x in trusted)}
+    assert {r["aln_id"] for r in got.collect()} == kept and len(kept) < len(rows)
+    assert "collect_list" not in got._jdf.queryExecution().toString()
