@@ -137,9 +137,15 @@ def sum_before(df: DataFrame, keys: list[str], order: str, value: str, out: str,
     return b.select(*df.columns, out)
 
 
-def lookup(df: DataFrame, column: str, table_: DataFrame, key: str) -> DataFrame:
-    """Left join to a materialized table with unique keys: broadcast within the row limit, else shuffled with the null keys spread."""
-    if table_.count() <= BROADCAST_ROWS:
+def lookup(df: DataFrame, column: str, table_: DataFrame, key: str, limit: int = BROADCAST_ROWS, salts: int = 32) -> DataFrame:
+    """Left join to a materialized table with unique keys: broadcast within the row limit.
+
+    Beyond it the join shuffles, and df's rows of a key are spread over ``salts`` copies of its row in the table, so that a key
+    with a third of all rows isn't worked by one task. Null keys match nothing and are spread as well.
+    """
+    if table_.count() <= limit:
         return df.join(F.broadcast(table_), df[column] == table_[key], "left")
-    spread = df.withColumn("__key", F.coalesce(F.col(column), F.concat(F.lit("\0"), F.uuid())))
-    return spread.join(table_, F.col("__key") == table_[key], "left").drop("__key")
+    spread = df.withColumn("__salt", F.floor(F.rand(17) * salts).cast("int"))
+    copies = table_.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    nulls = spread.withColumn("__key", F.coalesce(F.col(column), F.concat(F.lit("\0"), F.floor(F.rand(18) * (1 << 20)).cast("string"))))
+    return nulls.join(copies, (F.col("__key") == copies[key]) & (F.col("__salt") == F.col("__copy")), "left").drop("__key", "__salt", "__copy")
