@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strandline import codes
 
@@ -124,15 +128,30 @@ def round_up(x: Column, step: int, least: int) -> Column:
     return F.greatest(F.ceil(x / step) * step, F.lit(least)).cast("bigint")
 
 
+def _before(flat: pa.StructArray, ops: str, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Summed length of the operations in ops that stand before each one in its own array; first is where each array begins."""
+    op, length = flat.flatten()
+    step = np.where(pc.is_in(op, pa.array(list(ops))).to_numpy(zero_copy_only=False), length.fill_null(0).to_numpy(zero_copy_only=False), 0).astype(np.int64)
+    before = np.r_[0, np.cumsum(step)]
+    return before[:-1] - np.repeat(before[first], counts)
+
+
+@F.arrow_udf(T.ArrayType(T.StructType([T.StructField("r", T.LongType()), T.StructField("q", T.LongType())])))
+def _op_starts(cigar: pa.Array) -> pa.Array:
+    counts = pc.list_value_length(cigar).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(counts)
+    flat = cigar.flatten()
+    at = [pa.array(_before(flat, ops, ends - counts, counts)) for ops in ("MDN=X", "MIS=X")]
+    offsets = pa.array(np.r_[0, ends].astype(np.int32), mask=np.r_[pc.is_null(cigar).to_numpy(zero_copy_only=False), False])
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(at, names=["r", "q"]))
+
+
 def walk_ops(df, keep: list[str], start: str = "start0", cigar: str = "cigar"):  # noqa: ANN001, ANN201
-    """A row for each CIGAR operation: i, op, len, and where it begins on the reference (ref_pos) and in the read (query_pos)."""
-    zero = F.lit(0).cast("bigint")
-    begin = F.array(F.struct(zero.alias("r"), zero.alias("q")))
-    step = lambda a, x: F.concat(a, F.array(F.struct(
-        (F.element_at(a, -1)["r"] + F.when(x["op"].isin("M", "D", "N", "=", "X"), x["len"]).otherwise(0)).alias("r"),
-        (F.element_at(a, -1)["q"] + F.when(x["op"].isin("M", "I", "S", "=", "X"), x["len"]).otherwise(0)).alias("q"),
-    )))
-    at = F.aggregate(F.col(cigar), begin, step)
-    ops = F.arrays_zip(F.col(cigar).alias("c"), F.slice(at, 1, F.size(cigar)).alias("at"))
+    """A row for each CIGAR operation: i, op, len, and where it begins on the reference (ref_pos) and in the read (query_pos).
+
+    The running sums are taken over all operations of an Arrow batch at once, so a read of any number of operations costs what its operations cost;
+    only the CIGAR goes to Python, nothing is shuffled. A null or empty CIGAR has no rows; a null length counts as 0.
+    """
+    ops = F.arrays_zip(F.col(cigar).alias("c"), _op_starts(F.col(cigar)).alias("at"))
     out = df.select(*keep, F.col(start).alias("__s"), F.posexplode(ops).alias("i", "o"))
     return out.select(*keep, "i", F.col("o.c.op").alias("op"), F.col("o.c.len").alias("len"), (F.col("__s") + F.col("o.at.r")).alias("ref_pos"), F.col("o.at.q").alias("query_pos"))

@@ -2,26 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strandline.functions import sequence as S
 from strandline.operators.alignment_filter import flag_clear, records
+from strandline.runtime import materialize
 
 CHUNK = 256
 SUMS = ["match_f", "match_r", "mis_f", "mis_r", "indel_f", "indel_r", "mis_bq", "mis_mq", "indel_bq", "indel_mq", "n_mis", "n_indel"]
 
 
 def reference_chunks(contigs: DataFrame, size: int = CHUNK, halo: int = 0) -> DataFrame:
-    """(contig, bin, chunk, lead): contig sequences in upper case, in pieces of size with halo bases of either side; lead is the left halo's length."""
-    c = contigs.filter("length(seq) > 0").select("contig", F.upper("seq").alias("seq"))
-    c = c.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.length("seq") - 1) / size))))
-    lead = F.least(F.col("bin") * size, F.lit(halo)).cast("int")
-    return c.select("contig", "bin", F.substring("seq", (F.col("bin") * size + 1 - lead).cast("int"), F.lit(size + halo) + lead).alias("chunk"), lead.alias("lead"))
+    """(contig, bin, chunk, lead, own): contig sequences in upper case, in pieces, cut in one pass over a sequence.
+
+    chunk begins at base bin * size and holds 2 * halo bases more than size where the contig has them. It stands for the own bases behind its first lead ones: those
+    have halo bases on either side, as far as the contig goes. Every base is some piece's own; the last piece may own none. lead is halo, but 0 in the first piece.
+    """
+    pieces = F.regexp_extract_all(F.upper("seq"), F.lit(f"(?s)(?=(.{{1,{size + 2 * halo}}})).{{1,{size}}}"), 1)
+    c = contigs.filter("length(seq) > 0").select("contig", F.posexplode(pieces).alias("bin", "chunk"))
+    c = c.select("contig", F.col("bin").cast("bigint").alias("bin"), "chunk", F.when(F.col("bin") == 0, 0).otherwise(halo).alias("lead"))
+    return c.withColumn("own", F.greatest(F.least(F.length("chunk"), F.lit(size + halo)) - F.col("lead"), F.lit(0)))
 
 
 def pileup_reads(aln: DataFrame, min_mq: int = 1) -> DataFrame:
@@ -45,7 +50,7 @@ def pileup(aln: DataFrame, contigs: DataFrame, min_mq: int = 1) -> DataFrame:
     rev = S.is_reverse("flag")
     bins = F.sequence(F.floor(F.greatest(F.col("at"), F.lit(0)) / CHUNK), F.floor((F.col("at") + F.col("span") - 1) / CHUNK))
     ops = ops.withColumn("at", F.expr("if(op = 'I', ref_pos - 1, ref_pos)")).withColumn("span", F.expr("if(op = 'I', 1, len)")).filter("at >= 0 and span > 0").withColumn("bin", F.explode(bins))
-    ops = ops.join(reference_chunks(contigs).drop("lead"), ["contig", "bin"])
+    ops = ops.join(reference_chunks(contigs).drop("lead", "own"), ["contig", "bin"])
     ops = ops.withColumn("s", F.expr(f"greatest(at, bin * {CHUNK})")).withColumn("e", F.expr(f"least(at + span, bin * {CHUNK} + length(chunk))")).filter("e > s")
     flank = F.expr("slice(qual, int(greatest(query_pos, 1L)), if(query_pos > 0, 2, 1))")
     mean_bq = F.when(F.col("op") == "I", _mean(F.expr("slice(qual, int(query_pos) + 1, len)"))).when(F.col("op") == "D", _mean(flank))
@@ -91,43 +96,132 @@ def local_alt(d: DataFrame, half: int = 10) -> DataFrame:
     return d.filter(F.col("part") == F.floor(F.col("pos") / size)).drop("part")
 
 
+def _bases(chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(base, first, last): the bytes of all pieces, and for each byte where its piece begins and ends."""
+    text = [c.encode("ascii", "replace") for c in chunks.to_pylist()]
+    n = np.array([len(t) for t in text], np.int64)
+    end = np.cumsum(n)
+    return np.frombuffer(b"".join(text), np.uint8), np.repeat(end - n, n), np.repeat(end, n)
+
+
+def _breaks(base: np.ndarray, last: np.ndarray, k: int) -> np.ndarray:
+    """Where a base isn't followed by its like k bases on. Pieces reach far enough that only a contig's end cuts them off."""
+    broken = np.ones(len(base), bool)
+    broken[:-k] = (base[:-k] != base[k:]) | (np.arange(len(base) - k) + k >= last[:-k])
+    return broken
+
+
+PERIODS = (1, 2, 3)
+#: For each period the first and last break among a piece's own bases, and the last one but for the final three, which the next piece sees itself.
+BREAKS = T.StructType([T.StructField(f"{name}{k}", T.IntegerType()) for k in PERIODS for name in ("first", "last", "most")])
+
+
+@F.arrow_udf(BREAKS)
+def _piece_breaks(chunk: pa.Array, lead: pa.Array, own: pa.Array) -> pa.Array:
+    base, first, last = _bases(chunk)
+    lead, own = lead.to_numpy(zero_copy_only=False), own.to_numpy(zero_copy_only=False)
+    n = pc.binary_length(chunk).to_numpy(zero_copy_only=False)
+    begin = np.cumsum(n) - n
+    at = np.arange(len(base)) - first
+    rank = np.repeat(np.arange(len(n)), n)
+    mine, but = (at >= np.repeat(lead, n)) & (at < np.repeat(lead + own, n)), at < np.repeat(lead + own, n) - 3
+    cols = []
+    for k in PERIODS:
+        broken = _breaks(base, last, k) & mine
+        for where, end in ((broken, 0), (broken, -1), (broken & but, -1)):
+            hit = np.flatnonzero(where)
+            piece, one = np.unique(rank[hit], return_index=True) if end == 0 else np.unique(rank[hit][::-1], return_index=True)
+            out = np.full(len(n), -1, np.int32)
+            out[piece] = (hit if end == 0 else hit[::-1])[one] - begin[piece]
+            cols.append(pa.array(out, mask=out < 0))
+    return pa.StructArray.from_arrays(cols, names=BREAKS.names)
+
+
+def _piece_repeats(chunk: pa.Array, lead: pa.Array, own: pa.Array, before: pa.Array, behind: pa.Array) -> pa.Array:
+    """Of each own base the longest run over it; before and behind are the nearest breaks outside the piece, by period, as places in the piece."""
+    base, first, last = _bases(chunk)
+    lead, own = lead.to_numpy(zero_copy_only=False), own.to_numpy(zero_copy_only=False)
+    n = pc.binary_length(chunk).to_numpy(zero_copy_only=False)
+    index = np.arange(len(base))
+    at, low, high = index - first, np.repeat(lead - 3, n), np.repeat(lead + own, n)
+    inside = (at >= low) & (at < high)
+    outer = [np.repeat(np.asarray(x.flatten()).reshape(-1, len(PERIODS)), n, axis=0) for x in (before, behind)]
+    best = np.ones(len(base), np.int64)
+    for j, k in enumerate(PERIODS):
+        broken = _breaks(base, last, k) & inside
+        left = np.maximum.accumulate(np.where(broken, index, -1)) - first
+        left = np.where(left < 0, outer[0][:, j], left)
+        right = np.minimum.accumulate(np.where(broken, index, len(base))[::-1])[::-1]
+        right = np.where(right < last, right - first, outer[1][:, j])
+        # a run of matches between two breaks covers k bases more than it has matches
+        run = np.where(inside & ~broken, right - left - 1 + k, 0)
+        for d in range(k + 1):
+            best[d:] = np.where(at[d:] >= d, np.maximum(best[d:], run[: len(run) - d]), best[d:])
+    mine = (at >= np.repeat(lead, n)) & inside
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(own)].astype(np.int32)), pa.array(best[mine].astype(np.int32)))
+
+
+_repeats_udf = F.arrow_udf(_piece_repeats, T.ArrayType(T.IntegerType()))
+
+
+def repeat_lengths(seq: str) -> np.ndarray:
+    """The same of a sequence that is one piece."""
+    edge = [pa.array([[x] * len(PERIODS)]) for x in (-1, len(seq))]
+    return np.asarray(_piece_repeats(pa.array([seq]), pa.array([0]), pa.array([len(seq)]), *edge).flatten())
+
+
+def gc_of(chunk: Column, place: Column, half: int) -> Column:
+    """Part of G and C within half bases on either side of a place in a piece, as far as the piece goes."""
+    near = F.substring(chunk, F.greatest(place - half, F.lit(0)) + 1, place + half + 1 - F.greatest(place - half, F.lit(0)))
+    return F.regexp_count(near, F.lit("[GC]")) / F.length(near)
+
+
 def gc_content(contigs: DataFrame, half: int = 10) -> DataFrame:
     """(contig, pos, gc): part of G and C within half bases on either side that lie in the contig."""
-    c = reference_chunks(contigs, CHUNK, half).withColumn("k", F.explode(F.expr(f"sequence(0, int(least({CHUNK}, length(chunk) - lead)) - 1)")))
-    c = c.withColumn("near", F.expr(f"substring(chunk, greatest(lead + k - {half}, 0) + 1, lead + k + {half} + 1 - greatest(lead + k - {half}, 0))"))
-    return c.select("contig", (F.col("bin") * CHUNK + F.col("k")).alias("pos"), (F.regexp_count("near", F.lit("[GC]")) / F.length("near")).alias("gc"))
+    c = reference_chunks(contigs, CHUNK, half).filter("own > 0").withColumn("k", F.explode(F.expr("sequence(lead, lead + own - 1)")))
+    return c.select("contig", (F.col("bin") * CHUNK + F.col("k")).alias("pos"), gc_of(F.col("chunk"), F.col("k"), half).alias("gc"))
 
 
-def repeat_lengths(seq: str) -> np.ndarray:
-    """Length of the longest tandem run of period 1, 2 or 3 that covers each base, at least 1."""
-    b = np.frombuffer(seq.encode("ascii", "replace"), np.uint8)
-    best = np.ones(len(b), np.int32)
-    for k in (1, 2, 3):
-        same = np.r_[False, b[:-k] == b[k:], False] if len(b) > k else np.zeros(2, bool)
-        edge = np.flatnonzero(np.diff(same.astype(np.int8)))
-        for s, e in zip(edge[::2], edge[1::2]):
-            np.maximum(best[s : e + k], e - s + k, out=best[s : e + k])
-    return best
-
-
-def repeats(contigs: DataFrame) -> DataFrame:
+def repeat_pieces(contigs: DataFrame, size: int = CHUNK, halo: int = 10, wanted: DataFrame | None = None) -> DataFrame:
+    """(contig, bin, chunk, lead, own, repeats): pieces as in reference_chunks with the length of the longest tandem run of period 1, 2 or 3 over each own base, at least 1.
+
+    A run is a stretch of bases each like the one k bases on, and covers k bases more. Runs go over pieces of any number: every piece says
+    where it breaks runs, and the nearest break before and behind a piece is carried over the pieces of a contig, of which a window sees nine numbers each. wanted
+    (contig, bin) names the pieces whose bases are worked; all by default.
+    """
+    c = reference_chunks(contigs, size, halo)
+    found = c.select("contig", "bin", _piece_breaks("chunk", "lead", "own").alias("b")).select("contig", "bin", *[(F.col("bin") * size + F.col(f"b.{x}")).alias(x) for x in BREAKS.names])
+    by = Window.partitionBy("contig").orderBy("bin")
+    past, next_, here = by.rowsBetween(Window.unboundedPreceding, -2), by.rowsBetween(1, Window.unboundedFollowing), F.col("bin") * size
+    before = [(F.greatest(F.lit(-1), F.max(f"last{k}").over(past), F.lag(f"most{k}").over(by)) - here).cast("int") for k in PERIODS]
+    behind = [(F.coalesce(F.min(f"first{k}").over(next_), here) - here).cast("int") for k in PERIODS]
+    found = found.select("contig", "bin", F.array(*before).alias("before"), F.array(*behind).alias("behind"))
+    if wanted is not None:
+        c, found = c.join(wanted, ["contig", "bin"], "left_semi"), found.join(wanted, ["contig", "bin"], "left_semi")
+    c = c.join(found, ["contig", "bin"]).filter("own > 0")
+    return c.select("contig", "bin", "chunk", "lead", "own", _repeats_udf("chunk", "lead", "own", "before", "behind").alias("repeats"))
+
+
+def repeats(contigs: DataFrame, size: int = CHUNK) -> DataFrame:
     """(contig, pos, repeat_len) of every base of contigs with a sequence."""
+    c = repeat_pieces(contigs, size).select("contig", "bin", "lead", F.posexplode("repeats").alias("k", "repeat_len"))
+    return c.select("contig", (F.col("bin") * size + F.col("lead") + F.col("k")).alias("pos"), "repeat_len")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for contig, seq in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                best = repeat_lengths(seq)
-                for i in range(0, len(best), 100_000):
-                    part = best[i : i + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([contig] * len(part), pa.string()), pa.array(np.arange(i, i + len(part))), pa.array(part)], names=["contig", "pos", "repeat_len"])
 
-    return contigs.filter("length(seq) > 0").select("contig", F.upper("seq").alias("seq")).mapInArrow(run, "contig string, pos bigint, repeat_len int")
+def _own_bin(pos: Column, size: int, halo: int) -> Column:
+    """The piece that owns a base."""
+    return F.floor(F.greatest(pos - halo, F.lit(0)) / size)
 
 
 def features(p: DataFrame, contigs: DataFrame, min_alt: int = 2) -> DataFrame:
     """The features of positions where at least min_alt reads of a platform differ, in the order that a model takes them."""
     d = local_alt(dual(p)).filter((F.col("i_alt") >= min_alt) | (F.col("o_alt") >= min_alt))
-    d = d.join(gc_content(contigs), ["contig", "pos"]).join(repeats(contigs), ["contig", "pos"])
+    # gc and runs are worked only in the pieces that hold such a position, and taken from the piece
+    d = materialize(d.withColumn("bin", _own_bin(F.col("pos"), CHUNK, 10)), "feature_rows")
+    pieces = repeat_pieces(contigs, CHUNK, 10, d.select("contig", "bin").distinct())
+    place = (F.col("pos") - F.col("bin") * CHUNK).cast("int")
+    d = d.join(pieces, ["contig", "bin"]).filter(place < F.col("lead") + F.col("own"))
+    d = d.withColumn("gc", gc_of(F.col("chunk"), place, 10)).withColumn("repeat_len", F.get("repeats", place - F.col("lead"))).drop("bin", "chunk", "lead", "own", "repeats")
     eps = 1e-6
     cols = [F.col("contig"), F.col("pos")]
     for k in ("i", "o"):

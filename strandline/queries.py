@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.operators.key_quantiles import key_quantiles
+from strandline.operators.key_quantiles import hot_keys, key_quantiles
 from strandline.plans import alignment_queries, depth_queries, function_queries, fusion_queries, io_queries
 from strandline.runtime import table
 
@@ -13,13 +13,8 @@ from strandline.runtime import table
 HOT_SHARE = 0.05
 
 
-def _hot(spark: SparkSession, d: str, name: str, key: str, value: str) -> DataFrame:
-    q = key_quantiles(table(spark, d, name), key, value, [0.5])
-    return q.filter((F.col("share") >= HOT_SHARE) & F.col(key).isNotNull()).select(F.lit(name).alias("tbl"), F.col(key).alias("contig"))
-
-
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return _hot(spark, d, "depth_norm", "contig", "raw_depth").unionByName(_hot(spark, d, "encoded_batches", "chrom", "seq_len"))
+    return hot_keys(table(spark, d, "depth_norm"), "contig", HOT_SHARE, "depth_norm").unionByName(hot_keys(table(spark, d, "encoded_batches"), "chrom", HOT_SHARE, "encoded_batches"))
 
 
 def p2_depth_quantiles(spark: SparkSession, d: str) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
+from decimal import Decimal
 from functools import reduce
 
 import numpy as np
@@ -16,8 +19,8 @@ from pyspark.sql import types as T
 
 #: A join side of at most this many narrow rows may be broadcast; the count is always checked first.
 BROADCAST_ROWS = 200_000
-#: A key is hot when it holds more than one in HOT_PART of all rows, so at most HOT_PART keys are hot.
-HOT_PART = 1_000
+#: A key with more rows than a task should take is hot. Of very many rows a key must hold one in HOT_PART, so that at most HOT_PART keys are hot.
+ROWS_A_TASK, HOT_PART = 1_000_000, 200_000
 
 _own_scratch: dict[str, str] = {}
 
@@ -27,13 +30,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a temporary one only where that is unset (local tests)."""
+    """The shared folder of spark.checkpoint.dir; where that is unset a temporary one on a local master, which goes when Python ends, and an error on any other."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         return conf.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_scratch:
         _own_scratch[app] = tempfile.mkdtemp(prefix="spark-")
+        atexit.register(shutil.rmtree, _own_scratch[app], ignore_errors=True)
     return _own_scratch[app]
 
 
@@ -45,9 +51,9 @@ def ship_package(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
-    root = scratch_dir(spark).removeprefix("file://")
+    root = re.sub(r"^file:/+", "/", scratch_dir(spark))
     # Spark serves the archive to its executors itself, so the driver's own folder will do where the scratch folder has no path
-    folder = tempfile.mkdtemp(prefix="spark-") if "://" in root else root
+    folder = root if root.startswith("/") else tempfile.mkdtemp(prefix="spark-")
     os.makedirs(folder, exist_ok=True)
     home = os.path.dirname(os.path.abspath(__file__))
     archive = shutil.make_archive(f"{folder}/package-{uuid.uuid4().hex}", "zip", os.path.dirname(home), os.path.basename(home))
@@ -60,7 +66,17 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.scratch_path = path
+    return back
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove the files of materialized tables that no later step reads."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -71,9 +87,10 @@ def join_state(rows: DataFrame, state: DataFrame, keys: list[str], how: str, wei
     """Join many rows, perhaps skewed on keys, to a materialized state with few rows a key (null keys match).
 
     state carries in ``weight`` how many rows each key has of the ``total``. Within ``limit`` rows the state is
-    broadcast. Beyond it only the hot keys are, of which there are at most HOT_PART; the others, each with a small
-    part of the rows, are joined by a shuffle. how is "inner" or "left".
+    broadcast. Beyond it only the hot keys are, of which there are at most HOT_PART; the others, none with more rows than a task
+    should take, are joined by a shuffle. how is "inner" or "left".
     """
+    bound = max(ROWS_A_TASK, total // HOT_PART)
     names = {k: f"__k{i}" for i, k in enumerate(keys)}
     right = state.withColumnsRenamed(names)
 
@@ -83,11 +100,11 @@ def join_state(rows: DataFrame, state: DataFrame, keys: list[str], how: str, wei
 
     if state.count() <= limit:
         return joined(rows, F.broadcast(right), how)
-    hot = right.filter(F.col(weight) * HOT_PART > total)
+    hot = right.filter(F.col(weight) > bound)
     hot_keys = F.broadcast(hot.select(*names.values()).distinct())
     cond = reduce(lambda a, b: a & b, (rows[k].eqNullSafe(hot_keys[n]) for k, n in names.items()))
     cold = rows.join(hot_keys, cond, "left_anti")
-    return joined(rows, F.broadcast(hot), "inner").unionByName(joined(cold, right.filter(F.col(weight) * HOT_PART <= total), how))
+    return joined(rows, F.broadcast(hot), "inner").unionByName(joined(cold, right.filter(F.col(weight) <= bound), how))
 
 
 @F.pandas_udf(T.LongType())
@@ -118,6 +135,11 @@ def from_code(code: Column, kind: T.DataType) -> Column:
     return _code_double(code).cast(kind) if isinstance(kind, (T.FloatType, T.DoubleType)) else code.cast(kind)
 
 
+def exact_part(n: Column, prob: float) -> Column:
+    """prob * n without rounding: prob as it is written, to 17 decimals, so that 0.07 of 100 is 7."""
+    return n.cast("decimal(20,0)") * F.lit(Decimal(repr(float(prob))).quantize(Decimal(10) ** -17)).cast("decimal(18,17)")
+
+
 def sum_before(df: DataFrame, keys: list[str], order: str, value: str, out: str, chunk: int = 4096) -> DataFrame:
     """df with the sum of value over the rows of the same keys before this one; (keys, order) must be unique, order a BIGINT >= 0.
 
