@@ -21,35 +21,44 @@ def records(df: DataFrame) -> DataFrame:
     return df.dropDuplicates(["aln_id"])
 
 
-def primary_sources(df: DataFrame) -> DataFrame:
-    """(qname, mate, p_as, p_seq, p_qual): the primary record with a sequence of each mate of a read; of two, the one with the larger aln_id.
+def decisive(df: DataFrame) -> DataFrame:
+    """(aln_id, qname, flag, mate, score, mismatches, nm, seq_len, sourced): what decides about a record, each record once.
 
-    Grouping is by read name over the whole input, so mapped order doesn't matter; max_by combines before the shuffle, so a
+    Everything up to the choice of records runs on these narrow rows; sequences and qualities are only moved for records that are kept.
+    seq_len is 0 for a missing sequence; sourced says that the sequence can restore another record's.
+    """
+    length = F.coalesce(F.length("seq"), F.lit(0))
+    return df.select(
+        "aln_id", "qname", "flag", F.expr(MATE).alias("mate"), F.coalesce("as_score", F.lit(0)).alias("score"),
+        F.coalesce(S.condensed_mismatches("md").cast("bigint"), "nm", F.lit(0)).alias("mismatches"), F.coalesce("nm", F.lit(0)).alias("nm"), length.alias("seq_len"), ((length > 0) & (F.col("seq") != "*")).alias("sourced"),
+    ).dropDuplicates(["aln_id"])
+
+
+def primary_sources(rows: DataFrame) -> DataFrame:
+    """(s_qname, s_mate, p_id, p_as, p_len): the primary record with a sequence of each mate of a read; of two, the one with the larger aln_id. rows as decisive gives them.
+
+    Grouping is by read name over the whole input, so mapped order doesn't matter; the maximum combines before the shuffle, so a
     read name with very many records sends one row a task.
     """
-    p = df.filter(flag_clear(codes.NOT_PRIMARY) & (F.length("seq") > 0) & (F.col("seq") != "*") & F.col("qname").isNotNull())
-    p = p.select("qname", F.expr(MATE).alias("mate"), "aln_id", F.coalesce("as_score", F.lit(0)).alias("p_as"), S.plus_seq("seq", "flag").alias("p_seq"), S.plus_qual("qual", "flag").alias("p_qual"))
-    return p.filter("mate is not null").groupBy("qname", "mate").agg(F.max(F.struct("aln_id", "p_as", "p_seq", "p_qual")).alias("p")).select("qname", "mate", "p.p_as", "p.p_seq", "p.p_qual")
+    p = rows.filter(flag_clear(codes.NOT_PRIMARY) & F.col("sourced") & F.col("qname").isNotNull() & F.col("mate").isNotNull())
+    p = p.groupBy(F.col("qname").alias("s_qname"), F.col("mate").alias("s_mate")).agg(F.max(F.struct("aln_id", "score", "seq_len")).alias("p"))
+    return p.select("s_qname", "s_mate", F.col("p.aln_id").alias("p_id"), F.col("p.score").alias("p_as"), F.col("p.seq_len").cast("bigint").alias("p_len"))
 
 
-def secondary_candidates(df: DataFrame, min_ratio: float | None = 0.8, max_mismatch: int | None = 6, condensed: bool = True) -> DataFrame:
-    """Mapped non-primary records that pass the score and mismatch gates, with p_as, p_seq and p_qual of their mate's primary.
+def secondary_candidates(rows: DataFrame, min_ratio: float | None = 0.8, max_mismatch: int | None = 6, condensed: bool = True) -> DataFrame:
+    """Mapped non-primary records that pass the score and mismatch gates, with p_id, p_as and p_len of their mate's primary; rows as decisive gives them.
 
     The ratio gate only holds for records without a sequence, and only where the primary is known. The mismatch count is the condensed one
     of md where there is one, else nm, missing 0. The primaries are joined by a hash join; a hot read name has at most
-    three of them, so its many records stay where the scan left them if the side is small, and are split by AQE otherwise.
+    three of them, so its many narrow records stay where the scan left them if the side is small, and are split by AQE otherwise.
     """
-    r = df.filter((F.col("flag").bitwiseAND(codes.NOT_PRIMARY) != 0) & flag_clear(codes.UNMAPPED) & F.col("qname").isNotNull())
-    r = r.withColumn("mate", F.expr(MATE)).withColumn("score", F.coalesce("as_score", F.lit(0)))
-    src = primary_sources(df).withColumnsRenamed({"qname": "s_qname", "mate": "s_mate"})
+    r = rows.filter((F.col("flag").bitwiseAND(codes.NOT_PRIMARY) != 0) & flag_clear(codes.UNMAPPED) & F.col("qname").isNotNull())
+    src = primary_sources(rows)
     r = r.join(src, (r.qname == src.s_qname) & (r.mate == src.s_mate), "left").drop("s_qname", "s_mate")
-    seqless = F.coalesce(F.length("seq"), F.lit(0)) == 0
     if min_ratio is not None:
-        r = r.filter(~seqless | F.col("p_as").isNull() | (F.col("score") >= F.col("p_as") * min_ratio))
+        r = r.filter((F.col("seq_len") > 0) | F.col("p_as").isNull() | (F.col("score") >= F.col("p_as") * min_ratio))
     if max_mismatch is not None:
-        nm = F.coalesce("nm", F.lit(0))
-        count = F.coalesce(S.condensed_mismatches("md"), nm) if condensed else nm
-        r = r.filter(count <= max_mismatch)
+        r = r.filter(F.col("mismatches" if condensed else "nm") <= max_mismatch)
     return r
 
 
@@ -68,13 +77,19 @@ def filter_alignments(df: DataFrame, min_ratio: float = 0.8, max_mismatch: int |
     A record without a sequence takes it from its mate's primary, turned to its own strand and trimmed by its hard clips; where
     there is none it is dropped, after it has taken its place among the best.
     """
-    r = records(df)
-    primary = r.filter(flag_clear(codes.NOT_PRIMARY | codes.UNMAPPED))
-    kept = keep_best(secondary_candidates(r, min_ratio, max_mismatch, condensed), max_records)
-    seqless = F.coalesce(F.length("seq"), F.lit(0)) == 0
+    rows = materialize(decisive(df), "filter_rows")
+    kept = keep_best(secondary_candidates(rows, min_ratio, max_mismatch, condensed), max_records)
+    kept = kept.filter("seq_len > 0 or p_id is not null").select(F.col("aln_id").alias("k_id"), F.when(F.col("seq_len") == 0, F.col("p_id")).alias("k_source"))
+    kept = materialize(kept, "filter_kept")
+    primary = records(df.filter(flag_clear(codes.NOT_PRIMARY | codes.UNMAPPED)))
+    own = records(df.filter(F.col("flag").bitwiseAND(codes.NOT_PRIMARY) != 0).join(kept, F.col("aln_id") == F.col("k_id"), "left_semi")).join(kept, F.col("aln_id") == F.col("k_id"))
+    asked = kept.select("k_source").distinct()
+    source = records(df.filter(flag_clear(codes.NOT_PRIMARY)).join(asked, F.col("aln_id") == F.col("k_source"), "left_semi"))
+    source = source.select(F.col("aln_id").alias("p_id"), S.plus_seq("seq", "flag").alias("p_seq"), S.plus_qual("qual", "flag").alias("p_qual"))
+    kept = own.join(source, F.col("k_source") == F.col("p_id"), "left")
+    seqless = F.col("k_source").isNotNull()
     turned = F.when(S.is_reverse("flag"), S.revcomp("p_seq")).otherwise(F.col("p_seq"))
     turned_qual = F.when(S.is_reverse("flag"), F.reverse("p_qual")).otherwise(F.col("p_qual"))
-    kept = kept.filter(~seqless | F.col("p_seq").isNotNull())
     kept = kept.withColumn("qual", F.when(seqless, S.hard_trim_qual(turned_qual, "cigar")).otherwise(F.col("qual")))
     kept = kept.withColumn("seq", F.when(seqless, S.hard_trim(turned, "cigar")).otherwise(F.col("seq")))
     kept = kept.withColumn("md", F.lit(None).cast("string")).withColumn("nm", F.lit(None).cast("bigint"))

@@ -7,15 +7,19 @@ from pyspark.sql import functions as F
 
 from strandline import codes
 from strandline.functions import sequence as S
-from strandline.operators.alignment_filter import usable_reads
+from strandline.operators.alignment_filter import records, usable_reads
 from strandline.operators.intervals import overlap_join, overlap_len
 
 
-def window_reads(reads: DataFrame, windows: DataFrame, min_mq: int = 1) -> DataFrame:
-    """Usable reads joined to the windows they reach into whose core (core_s, core_e: half-open) they overlap, whatever targets encoding finds there."""
-    w = windows.select("batch_id", F.col("chrom").alias("w_chrom"), "win_s", "win_e", "core_s", "core_e")
-    pairs = overlap_join(usable_reads(reads, min_mq), w, r_contig="w_chrom", r_start="core_s", r_end="core_e")
-    return pairs.withColumn("win_overlap", overlap_len(F.col("start0"), F.col("end0"), F.col("win_s").cast("bigint"), F.col("win_e").cast("bigint"))).filter("win_overlap > 0")
+def window_reads(reads: DataFrame, windows: DataFrame, min_mq: int = 1, span: tuple[str, str] = ("core_s", "core_e"), reach: bool = True) -> DataFrame:
+    """Usable reads, each once, joined to the windows whose span they overlap, a half-open interval of two columns of windows; with reach they must also overlap the window.
+
+    The span is the window's core, whatever targets encoding finds there, so that every window has its reads. Another one, such as that of the targets found, may be given.
+    """
+    w = windows.select("batch_id", F.col("chrom").alias("w_chrom"), "win_s", "win_e", F.col(span[0]).alias("span_s"), F.col(span[1]).alias("span_e"))
+    pairs = overlap_join(records(usable_reads(reads, min_mq)), w, r_contig="w_chrom", r_start="span_s", r_end="span_e").drop("span_s", "span_e")
+    pairs = pairs.withColumn("win_overlap", overlap_len(F.col("start0"), F.col("end0"), F.col("win_s").cast("bigint"), F.col("win_e").cast("bigint")))
+    return pairs.filter("win_overlap > 0") if reach else pairs
 
 
 def select_reads(pairs: DataFrame, depth: int = 30) -> DataFrame:

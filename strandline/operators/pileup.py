@@ -29,6 +29,21 @@ def reference_chunks(contigs: DataFrame, size: int = CHUNK, halo: int = 0) -> Da
     return c.withColumn("own", F.greatest(F.least(F.length("chunk"), F.lit(size + halo)) - F.col("lead"), F.lit(0)))
 
 
+def ranges_of(rows: DataFrame, contigs: DataFrame, ident: str, contig: str, start: str, end: str, size: int = 4096) -> DataFrame:
+    """(ident, seq): the upper-case bases of each row's half-open range, as far as the contig goes; empty behind its end.
+
+    Each range takes its part of the pieces it touches, joined by (contig, piece), so no range meets a whole sequence. Contigs without a sequence have no rows; ident must be unique.
+    """
+    c = reference_chunks(contigs, size).select(F.col("contig").alias("c_contig"), "bin", "chunk")
+    r = rows.filter(F.col(contig).isNotNull() & (F.col(end) > F.col(start))).select(ident, F.col(contig).alias("r_contig"), F.greatest(F.col(start), F.lit(0)).cast("bigint").alias("s"), F.col(end).cast("bigint").alias("e"))
+    known = contigs.filter("length(seq) > 0").select(F.col("contig").alias("k_contig"))
+    touched = r.withColumn("b", F.explode(F.sequence(F.floor(F.col("s") / size), F.floor((F.col("e") - 1) / size))))
+    at, to = F.greatest(F.col("s") - F.col("bin") * size, F.lit(0)), F.least(F.col("e") - F.col("bin") * size, F.lit(size))
+    parts = touched.join(c, (F.col("r_contig") == F.col("c_contig")) & (F.col("b") == F.col("bin"))).select(ident, "bin", F.substring("chunk", (at + 1).cast("int"), (to - at).cast("int")).alias("part"))
+    whole = parts.groupBy(F.col(ident).alias("p_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bin", "part"))), lambda x: x["part"]), "").alias("seq"))
+    return r.join(known, F.col("r_contig") == F.col("k_contig"), "left_semi").join(whole, F.col(ident) == F.col("p_id"), "left").select(ident, F.coalesce("seq", F.lit("")).alias("seq"))
+
+
 def pileup_reads(aln: DataFrame, min_mq: int = 1) -> DataFrame:
     """Mapped primary records, no duplicates, with sequence, qualities and mapq >= min_mq."""
     keep = flag_clear(0xD04) & (F.col("mapq") >= min_mq) & (F.length("seq") > 0) & (F.size("qual") > 0) & F.col("contig").isNotNull()

@@ -12,7 +12,7 @@ from strandline.operators import encode as E
 from strandline.operators.clusters import cluster_windows
 from strandline.operators.intervals import islands, overlap_join
 from strandline.plans.function_queries import SQL_CLIP, SQL_MD, sql_sum
-from strandline.runtime import table
+from strandline.runtime import materialize, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -28,8 +28,8 @@ def query(name: str, sql: str | None = None):  # noqa: ANN201
     return add
 
 
-def aln(spark: SparkSession, d: str) -> DataFrame:
-    return A.records(table(spark, d, "alignments"))
+def _rows(spark: SparkSession, d: str) -> DataFrame:
+    return materialize(A.decisive(table(spark, d, "alignments")), "filter_rows")
 
 
 def windows(spark: SparkSession, d: str) -> DataFrame:
@@ -66,13 +66,12 @@ _BEST = f"""b as (select * from (select *, row_number() over (partition by qname
 @query("jn_primary_source", f"with {_ALN}, {_PRIMARY}, {_CAND} select c.aln_id, p.p_as, p.p_len from c left join p on c.qname = p.qname and c.mate = p.mate")
 def jn_primary_source(spark: SparkSession, d: str) -> DataFrame:
     """Every non-primary record with its own mate's primary."""
-    c = A.secondary_candidates(aln(spark, d), min_ratio=None, max_mismatch=None)
-    return c.select("aln_id", "p_as", F.length("p_seq").cast("bigint").alias("p_len"))
+    return A.secondary_candidates(_rows(spark, d), min_ratio=None, max_mismatch=None).select("aln_id", "p_as", "p_len")
 
 
 @query("flt_as_ratio", f"with {_ALN}, {_PRIMARY}, {_CAND} select aln_id, score, p_as from g")
 def flt_as_ratio(spark: SparkSession, d: str) -> DataFrame:
-    return A.secondary_candidates(aln(spark, d), max_mismatch=None).select("aln_id", "score", "p_as")
+    return A.secondary_candidates(_rows(spark, d), max_mismatch=None).select("aln_id", "score", "p_as")
 
 
 @query("flt_max_mismatch", f"select aln_id, coalesce({SQL_MD}, nm, 0)::bigint as mismatches from (select distinct aln_id, flag, md, nm from alignments) where (flag & 2304) <> 0 and (flag & 4) = 0 and coalesce({SQL_MD}, nm, 0) <= 6")
@@ -84,7 +83,7 @@ def flt_max_mismatch(spark: SparkSession, d: str) -> DataFrame:
 
 @query("topk_as", f"with {_ALN}, {_PRIMARY}, {_CAND}, {_BEST} select qname, aln_id, score, rank::int as rank from b")
 def topk_as(spark: SparkSession, d: str) -> DataFrame:
-    return A.keep_best(A.secondary_candidates(aln(spark, d))).select("qname", "aln_id", "score", "rank")
+    return A.keep_best(A.secondary_candidates(_rows(spark, d))).select("qname", "aln_id", "score", "rank")
 
 
 @query("stage_filter", f"""with {_ALN}, {_PRIMARY}, {_CAND}, {_BEST} select aln_id, length(seq)::bigint as seq_len, nm from a where (flag & 2308) = 0
@@ -110,12 +109,12 @@ _USE = f"""u as (select * from (select *, {sql_sum('MI=X')} as aln_len, {SQL_CLI
 
 @query("flt_platform_thresholds", f"with {_ALN}, {_USE} select aln_id, aln_len, clip_len, round(clip_ratio, 6) as clip_ratio from u")
 def flt_platform_thresholds(spark: SparkSession, d: str) -> DataFrame:
-    return A.usable_reads(aln(spark, d)).select("aln_id", "aln_len", "clip_len", F.round("clip_ratio", 6).alias("clip_ratio"))
+    return A.records(A.usable_reads(table(spark, d, "alignments"))).select("aln_id", "aln_len", "clip_len", F.round("clip_ratio", 6).alias("clip_ratio"))
 
 
 @query("flt_backbone", f"with {_ALN}, {_USE} select aln_id, start0 + trust as t_start, end0 - trust as t_end from u where clip_ratio <= sr and clip_len < sl and end0 - start0 > 2 * trust")
 def flt_backbone(spark: SparkSession, d: str) -> DataFrame:
-    b = A.usable_reads(aln(spark, d)).filter("backbone and end0 - start0 > 2 * trust")
+    b = A.records(A.usable_reads(table(spark, d, "alignments")).filter("backbone and end0 - start0 > 2 * trust"))
     return b.select("aln_id", (F.col("start0") + F.col("trust")).alias("t_start"), (F.col("end0") - F.col("trust")).alias("t_end"))
 
 
@@ -137,24 +136,41 @@ _SEL = f"""{_PAIR}, k as (select * from pr where (clip_ratio <= sr and clip_len
     order by round(greatest(ov, 0) - clip_ratio * 100 + aln_len / mean_len + mapq, 6) desc, aln_id) as rank from k) where rank <= 30)"""
 
 
-@query("flt_target_overlap", f"with {_PAIR} select batch_id, aln_id, greatest(ov, 0)::bigint as win_overlap from pr")
-def flt_target_overlap(spark: SparkSession, d: str) -> DataFrame:
-    return E.window_reads(aln(spark, d), windows(spark, d)).select("batch_id", "aln_id", "win_overlap")
+def on_windows(name: str, sql: str):  # noqa: ANN201
+    """Registers a query of a window's reads twice: under its name by the interval of the listed targets, which is the interval of its SQL, and as name_core by the
+    window's core, as the stage itself chooses reads; f takes the reads of all windows.
+    """
+
+    def add(f):  # noqa: ANN001, ANN202
+        QUERIES[name] = lambda spark, d: f(spark, d, _by_targets(spark, d))
+        ORACLE[name] = sql
+        QUERIES[f"{name}_core"] = lambda spark, d: f(spark, d, E.window_reads(table(spark, d, "alignments"), windows(spark, d)))
+        by_core = sql.replace("list_min(targets_ref_pos) as t_min, list_max(targets_ref_pos) as t_max", "core_s as t_min, core_e as t_max")
+        ORACLE[f"{name}_core"] = by_core.replace("where t_min < t_max)", "where t_min < t_max and start0 < win_e and end0 > win_s)")
+        return f
+
+    return add
+
+
+def _by_targets(spark: SparkSession, d: str) -> DataFrame:
+    w = windows(spark, d).withColumn("t_min", F.array_min("targets_ref_pos")).withColumn("t_max", F.array_max("targets_ref_pos"))
+    return E.window_reads(table(spark, d, "alignments"), w, span=("t_min", "t_max"), reach=False)
 
 
-def _selected(spark: SparkSession, d: str) -> DataFrame:
-    return E.select_reads(E.window_reads(aln(spark, d), windows(spark, d)))
+@on_windows("flt_target_overlap", f"with {_PAIR} select batch_id, aln_id, greatest(ov, 0)::bigint as win_overlap from pr")
+def flt_target_overlap(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
+    return pairs.select("batch_id", "aln_id", "win_overlap")
 
 
-@query("jn_contained", f"with {_SEL} select batch_id, platform, count(*) as kept from k group by 1, 2")
-def jn_contained(spark: SparkSession, d: str) -> DataFrame:
+@on_windows("jn_contained", f"with {_SEL} select batch_id, platform, count(*) as kept from k group by 1, 2")
+def jn_contained(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
     """How many reads of a window are in no trusted interval of another, or are backbones."""
-    return E.select_reads(E.window_reads(aln(spark, d), windows(spark, d)), depth=2**31 - 1).groupBy("batch_id", "platform").agg(F.count("*").alias("kept"))
+    return E.select_reads(pairs, depth=2**31 - 1).groupBy("batch_id", "platform").agg(F.count("*").alias("kept"))
 
 
-@query("topk_reads", f"with {_SEL} select batch_id, platform, aln_id, rank::int as rank, rowno::int as rowno from s")
-def topk_reads(spark: SparkSession, d: str) -> DataFrame:
-    return _selected(spark, d).select("batch_id", "platform", "aln_id", "rank", F.col("row").alias("rowno"))
+@on_windows("topk_reads", f"with {_SEL} select batch_id, platform, aln_id, rank::int as rank, rowno::int as rowno from s")
+def topk_reads(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
+    return E.select_reads(pairs).select("batch_id", "platform", "aln_id", "rank", F.col("row").alias("rowno"))
 
 
 _WALK = """ops as (select {keep}, op, len, start0 + coalesce(sum(case when contains('MDN=X', op) then len else 0 end) over w, 0)::bigint as ref_pos,
@@ -163,25 +179,25 @@ _WALK = """ops as (select {keep}, op, len, start0 + coalesce(sum(case when conta
 _INS = f"""{_SEL}, {_WALK.format(keep='batch_id, aln_id, platform, win_s, win_e', src='s', key='batch_id, aln_id')}, ins as (select batch_id, ref_pos - 1 as pos, max(len) as ins from ops where op = 'I' and len <= 15 and ref_pos - 1 >= win_s and ref_pos - 1 < win_e group by 1, 2)"""
 
 
-@query("agg_max_insert", f"with {_INS} select batch_id, pos, ins from ins")
-def agg_max_insert(spark: SparkSession, d: str) -> DataFrame:
-    return E.insertions(_selected(spark, d))
+@on_windows("agg_max_insert", f"with {_INS} select batch_id, pos, ins from ins")
+def agg_max_insert(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
+    return E.insertions(E.select_reads(pairs))
 
 
 _COLS = f"""{_INS}, cm as materialized (select batch_id, pos, coalesce(ins, 0) as ins, coalesce(sum(1 + coalesce(ins, 0)) over (partition by batch_id order by pos rows between unbounded preceding and 1 preceding), 0)::bigint as col
     from (select batch_id, unnest(range(win_s::bigint, win_e::bigint)) as pos from w) left join ins using (batch_id, pos))"""
 
 
-@query("win_col_map", f"with {_COLS} select batch_id, pos, ins, col from cm")
-def win_col_map(spark: SparkSession, d: str) -> DataFrame:
-    return E.columns(windows(spark, d), E.insertions(_selected(spark, d))).select("batch_id", "pos", "ins", "col")
+@on_windows("win_col_map", f"with {_COLS} select batch_id, pos, ins, col from cm")
+def win_col_map(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
+    return E.columns(windows(spark, d), E.insertions(E.select_reads(pairs))).select("batch_id", "pos", "ins", "col")
 
 
-@query("win_depth_expand", f"""with {_COLS}, dp as (select contig, pos, round(avg(norm), 3) as dp from (select distinct archive_id, contig, pos, norm from depth_norm where contig is not null and norm is not null) group by 1, 2)
+@on_windows("win_depth_expand", f"""with {_COLS}, dp as (select contig, pos, round(avg(norm), 3) as dp from (select distinct archive_id, contig, pos, norm from depth_norm where contig is not null and norm is not null) group by 1, 2)
     select batch_id, (col + k)::bigint as col, coalesce(dp, -2) as dp from (select batch_id, pos, col, unnest(range(0, ins + 1)) as k from cm) x join (select batch_id, chrom from w) y using (batch_id) left join dp on dp.contig = chrom and dp.pos = x.pos""")
-def win_depth_expand(spark: SparkSession, d: str) -> DataFrame:
+def win_depth_expand(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
     """Normalised depth (the mean of the archives) of every column; insertion columns have that of their anchor, positions without one -2."""
-    cols = E.columns(windows(spark, d), E.insertions(_selected(spark, d)))
+    cols = E.columns(windows(spark, d), E.insertions(E.select_reads(pairs)))
     dp = table(spark, d, "depth_norm").filter("contig is not null and norm is not null").select("archive_id", "contig", "pos", "norm").distinct()
     dp = dp.groupBy(F.col("contig").alias("chrom"), "pos").agg(F.round(F.avg("norm"), 3).alias("dp"))
     c = cols.join(dp, ["chrom", "pos"], "left").withColumn("k", F.explode(F.expr("sequence(0, ins)")))
@@ -196,19 +212,19 @@ _CELLS = f"""{_COLS}, o2 as (select ops.*, a.seq, a.qual from ops join a using (
     from ce join cm on cm.batch_id = ce.batch_id and cm.pos = ce.pos where (op = 'D' or q < length(seq)) and (op <> 'I' or len <= ins))"""
 
 
-@query("udf_encode_window", f"with {_CELLS} select batch_id, platform, count(*) as n_cells, sum(base)::bigint as base_sum, sum(bq)::bigint as bq_sum, sum(col * (base + 1))::bigint as col_sum from cell group by 1, 2")
-def udf_encode_window(spark: SparkSession, d: str) -> DataFrame:
+@on_windows("udf_encode_window", f"with {_CELLS} select batch_id, platform, count(*) as n_cells, sum(base)::bigint as base_sum, sum(bq)::bigint as bq_sum, sum(col * (base + 1))::bigint as col_sum from cell group by 1, 2")
+def udf_encode_window(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
     """The encoded cells of every window, summed up by platform."""
-    w, s = windows(spark, d), _selected(spark, d)
+    w, s = windows(spark, d), E.select_reads(pairs)
     c = E.cells(s, E.columns(w, E.insertions(s)))
     return c.groupBy("batch_id", "platform").agg(F.count("*").alias("n_cells"), F.sum("base").cast("bigint").alias("base_sum"), F.sum("bq").cast("bigint").alias("bq_sum"), F.sum(F.col("col") * (F.col("base") + 1)).cast("bigint").alias("col_sum"))
 
 
-@query("agg_support", f"""with {_CELLS} select batch_id, col::bigint as col, count(*) filter (op in ('I', 'D')) as variants, (select count(*) from s where s.batch_id = cell.batch_id) as depth from cell group by batch_id, col
+@on_windows("agg_support", f"""with {_CELLS} select batch_id, col::bigint as col, count(*) filter (op in ('I', 'D')) as variants, (select count(*) from s where s.batch_id = cell.batch_id) as depth from cell group by batch_id, col
     having count(*) filter (op in ('I', 'D')) >= greatest(2, 0.01 * (select count(*) from s where s.batch_id = cell.batch_id))""")
-def agg_support(spark: SparkSession, d: str) -> DataFrame:
+def agg_support(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
     """Columns with at least 2, and 1 % of the rows, that insert or delete there; depth counts every selected row, gaps too."""
-    w, s = windows(spark, d), _selected(spark, d)
+    w, s = windows(spark, d), E.select_reads(pairs)
     c = E.cells(s, E.columns(w, E.insertions(s))).groupBy("batch_id", "col").agg(F.count_if(F.col("op").isin("I", "D")).alias("variants"))
     depth = s.groupBy("batch_id").agg(F.count("*").alias("depth"))
     return c.join(depth, "batch_id").filter("variants >= greatest(2, 0.01 * depth)").select("batch_id", "col", "variants", "depth")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from strandline import codes
 from strandline.functions import probability as P
 from strandline.functions import sequence as S
+from strandline.operators.pileup import reference_chunks
 from strandline.runtime import table
 
 QUERIES: dict = {}
@@ -89,7 +90,7 @@ def fn_upper(spark: SparkSession, d: str) -> DataFrame:
 @query("fn_base_code", """select contig, case upper(b) when 'A' then 0 when 'C' then 1 when 'G' then 2 when 'T' then 3 else 4 end as code, count(*) as n
     from (select contig, unnest(string_split(seq, '')) as b from contigs) group by all""")
 def fn_base_code(spark: SparkSession, d: str) -> DataFrame:
-    b = table(spark, d, "contigs").filter("length(seq) > 0").select("contig", F.explode(F.split("seq", "")).alias("b"))
+    b = reference_chunks(table(spark, d, "contigs"), 4096).select("contig", F.explode(F.split("chunk", "")).alias("b"))
     return b.groupBy("contig", S.base_code("b").alias("code")).agg(F.count("*").alias("n"))
 
 

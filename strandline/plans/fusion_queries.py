@@ -112,7 +112,7 @@ def _clusters(spark: SparkSession, d: str) -> DataFrame:
 @query("agg_cluster_median", f"with {_MED} select cluster, round(median, 4) as median, n from med")
 def agg_cluster_median(spark: SparkSession, d: str) -> DataFrame:
     x = _identity(spark, d).filter("score is not null").join(_clusters(spark, d), "rid")
-    return x.groupBy("cluster").agg(F.round(F.median("score"), 4).alias("median"), F.count("*").alias("n"))
+    return U.cluster_medians(materialize(x, "clustered")).select("cluster", F.round("median", 4).alias("median"), "n")
 
 
 @query("jn_cluster_scores", f"""with {_MED} select rid, round(case when median >= 0 then abs(coalesce(score, median)) when median < 0 then -abs(score) else score end, 4) as score,
@@ -232,16 +232,17 @@ def snk_vcf(spark: SparkSession, d: str) -> DataFrame:
 @query("jn_variant_ref")
 def jn_variant_ref(spark: SparkSession, d: str) -> DataFrame:
     """Variants of contigs whose sequence is known, and whether it has the reference allele at their place."""
-    v = _variants(spark, d)
-    c = table(spark, d, "contigs").filter("seq is not null").select(F.col("contig").alias("chrom"), F.upper("seq").alias("seq"))
-    return v.join(c, "chrom").select("chrom", "pos", "ref", "alt", (F.expr("substring(seq, cast(pos as int), length(ref))") == F.col("ref")).alias("agrees"))
+    known = table(spark, d, "contigs").filter("seq is not null").select(F.col("contig").alias("chrom"))
+    v = _variants(spark, d).join(known, "chrom", "left_semi")
+    return U.reference_agrees(v, table(spark, d, "contigs")).select("chrom", "pos", "ref", "alt", "agrees")
 
 
 @query("win_nonoverlap")
 def win_nonoverlap(spark: SparkSession, d: str) -> DataFrame:
-    """Contigs with the variants written in: what was applied and what was skipped, and how the length changed."""
-    a = U.apply_variants(materialize(_variants(spark, d), "variants"), table(spark, d, "contigs"))
-    return a.select("contig", F.length("seq").alias("new_len"), F.md5("seq").alias("digest"), "applied", "skipped")
+    """Contigs with the variants written in, from their pieces: what was applied and what was skipped, the new length, and a digest of the digests of the pieces."""
+    p = U.corrected_pieces(materialize(_variants(spark, d), "variants"), table(spark, d, "contigs")).select("contig", "bin", F.length("seq").alias("n"), F.md5("seq").alias("md5"), "applied", "skipped")
+    digests = F.array_sort(F.collect_list(F.struct("bin", "md5")))
+    return p.groupBy("contig").agg(F.sum("n").alias("new_len"), F.md5(F.array_join(F.transform(digests, lambda x: x["md5"]), "")).alias("digest"), F.sum("applied").alias("applied"), F.sum("skipped").alias("skipped"))
 
 
 @query("agg_counts", f"with {_SITE} select chrom, count(distinct window_id) as windows, count(*) as sites, max(off) as max_offset from st group by 1")

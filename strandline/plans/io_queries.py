@@ -12,11 +12,12 @@ from strandline.functions import sequence as S
 from strandline.operators import encode as E
 from strandline.operators.alignment_filter import flag_clear
 from strandline.operators.intervals import overlap_join
-from strandline.operators.pileup import CHUNK, features, pileup, reference_chunks
+from strandline.operators.key_quantiles import key_ranks
+from strandline.operators.pileup import CHUNK, features, pileup, ranges_of, reference_chunks
 from strandline.plans import alignment_queries as AQ
 from strandline.plans.depth_queries import _REF, _features_sql
 from strandline.plans.pipeline import candidate_windows, scored
-from strandline.runtime import scratch_dir, table
+from strandline.runtime import materialize, scratch_dir, table
 from strandline.sources import shards as H
 from strandline.sources import text as X
 from strandline.streaming.reads import primary_reads, run_to_end, stream_table
@@ -35,6 +36,16 @@ def query(name: str, sql: str | None = None):  # noqa: ANN201
     return add
 
 
+def on_windows(name: str, sql: str):  # noqa: ANN201
+    def add(f):  # noqa: ANN001, ANN202
+        AQ.on_windows(name, sql)(f)
+        for n in (name, f"{name}_core"):
+            QUERIES[n], ORACLE[n] = AQ.QUERIES[n], AQ.ORACLE[n]
+        return f
+
+    return add
+
+
 def _path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
@@ -62,8 +73,7 @@ def src_gfa(spark: SparkSession, d: str) -> DataFrame:
 def src_fasta_range(spark: SparkSession, d: str) -> DataFrame:
     """The reference of every window whose contig has a sequence."""
     w = table(spark, d, "encoded_batches").filter("win_e > win_s").select("batch_id", "chrom", "win_s", "win_e").distinct()
-    c = table(spark, d, "contigs").filter("seq is not null").select(F.col("contig").alias("chrom"), "seq")
-    return w.join(c, "chrom").select("batch_id", F.upper(F.expr("substring(seq, win_s + 1, win_e - win_s)")).alias("seq"))
+    return ranges_of(w, table(spark, d, "contigs"), "batch_id", "chrom", "win_s", "win_e").select("batch_id", "seq")
 
 
 @query("src_fasta_len", "select contig, contig_idx, len, length(seq)::int as seq_len, contig = (select arg_max(contig, (len, -contig_idx)) from contigs) as longest from contigs")
@@ -186,10 +196,10 @@ def jn_read_block(spark: SparkSession, d: str) -> DataFrame:
 _ASOF = AQ._COLS
 
 
-@query("jn_col_asof", f"with {_ASOF} select batch_id, (col + k)::bigint as col, pos from (select *, unnest(range(0, ins + 1)) as k from cm)")
-def jn_col_asof(spark: SparkSession, d: str) -> DataFrame:
+@on_windows("jn_col_asof", f"with {_ASOF} select batch_id, (col + k)::bigint as col, pos from (select *, unnest(range(0, ins + 1)) as k from cm)")
+def jn_col_asof(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
     """The reference position of every column; the position travels with its columns, so no as-of search is needed."""
-    c = E.columns(AQ.windows(spark, d), E.insertions(AQ._selected(spark, d))).withColumn("k", F.explode(F.expr("sequence(0, ins)")))
+    c = E.columns(AQ.windows(spark, d), E.insertions(E.select_reads(pairs))).withColumn("k", F.explode(F.expr("sequence(0, ins)")))
     return c.select("batch_id", (F.col("col") + F.col("k")).alias("col"), "pos")
 
 
@@ -205,39 +215,39 @@ def _ref_columns(spark: SparkSession, d: str, cols: DataFrame) -> DataFrame:
     return x.select("batch_id", (F.col("col") + F.col("k")).alias("col"), code.alias("code"))
 
 
-@query("win_ref_expand", f"with {_REFEX} select batch_id, col, code from re")
-def win_ref_expand(spark: SparkSession, d: str) -> DataFrame:
+@on_windows("win_ref_expand", f"with {_REFEX} select batch_id, col, code from re")
+def win_ref_expand(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
     """Reference codes by column, 6 in insertion columns, of windows whose contig has a sequence."""
-    return _ref_columns(spark, d, E.columns(AQ.windows(spark, d), E.insertions(AQ._selected(spark, d))))
+    return _ref_columns(spark, d, E.columns(AQ.windows(spark, d), E.insertions(E.select_reads(pairs))))
 
 
 _CODE = f"""{AQ._CELLS}, {_REFEX.removeprefix(_ASOF + ', ')}, cc as (select cell.*, case when op = 'D' then 3 when code = 6 then 4 when base = code then 1 else 2 end as cc from cell join re using (batch_id, col))"""
 
 
-def _coded(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    s, w = AQ._selected(spark, d), AQ.windows(spark, d)
+def _coded(spark: SparkSession, d: str, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    s, w = E.select_reads(pairs), AQ.windows(spark, d)
     cols = E.columns(w, E.insertions(s))
     c = E.cells(s, cols).join(_ref_columns(spark, d, cols), ["batch_id", "col"])
     return s, c.withColumn("cc", F.when(F.col("op") == "D", codes.CELL_DELETION).otherwise(S.cell_code(F.col("base"), F.col("code"))))
 
 
-@query("fn_cell_code", f"with {_CODE} select batch_id, platform, cc, count(*) as n from cc group by 1, 2, 3")
-def fn_cell_code(spark: SparkSession, d: str) -> DataFrame:
-    return _coded(spark, d)[1].groupBy("batch_id", "platform", "cc").agg(F.count("*").alias("n"))
+@on_windows("fn_cell_code", f"with {_CODE} select batch_id, platform, cc, count(*) as n from cc group by 1, 2, 3")
+def fn_cell_code(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
+    return _coded(spark, d, pairs)[1].groupBy("batch_id", "platform", "cc").agg(F.count("*").alias("n"))
 
 
-@query("flt_col_support", f"with {_CODE}, dep as (select batch_id, count(*) as depth from s group by 1) select batch_id, col::bigint as col, variants, depth from (select batch_id, col, count(*) filter (cc in (2, 3, 4)) as variants from cc group by 1, 2) join dep using (batch_id) where variants >= greatest(2, 0.01 * depth)")
-def flt_col_support(spark: SparkSession, d: str) -> DataFrame:
+@on_windows("flt_col_support", f"with {_CODE}, dep as (select batch_id, count(*) as depth from s group by 1) select batch_id, col::bigint as col, variants, depth from (select batch_id, col, count(*) filter (cc in (2, 3, 4)) as variants from cc group by 1, 2) join dep using (batch_id) where variants >= greatest(2, 0.01 * depth)")
+def flt_col_support(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
     """Columns where at least 2 reads, and 1 % of the rows, differ from the reference; every selected row counts as depth."""
-    s, c = _coded(spark, d)
+    s, c = _coded(spark, d, pairs)
     v = c.groupBy("batch_id", "col").agg(F.count_if(F.col("cc").isin(2, 3, 4)).alias("variants"))
     return v.join(s.groupBy("batch_id").agg(F.count("*").alias("depth")), "batch_id").filter("variants >= greatest(2, 0.01 * depth)").select("batch_id", "col", "variants", "depth")
 
 
-@query("udf_tensor_features", f"with {AQ._CELLS} select batch_id, platform, col::bigint as col, count(*) as n, round(sum(case when bq >= 0 then bq else 40 * bq end)::double / (40 * count(*)), 6) as bq from cell group by 1, 2, 3")
-def udf_tensor_features(spark: SparkSession, d: str) -> DataFrame:
+@on_windows("udf_tensor_features", f"with {AQ._CELLS} select batch_id, platform, col::bigint as col, count(*) as n, round(sum(case when bq >= 0 then bq else 40 * bq end)::double / (40 * count(*)), 6) as bq from cell group by 1, 2, 3")
+def udf_tensor_features(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
     """Mean normalised base quality of every column; pads and deletions keep their negative marks."""
-    s, w = AQ._selected(spark, d), AQ.windows(spark, d)
+    s, w = E.select_reads(pairs), AQ.windows(spark, d)
     c = E.cells(s, E.columns(w, E.insertions(s))).withColumn("b", F.when(F.col("bq") >= 0, F.col("bq")).otherwise(F.col("bq") * 40))
     return c.groupBy("batch_id", "platform", "col").agg(F.count("*").alias("n"), F.round(F.sum("b").cast("double") / (F.count("*") * 40), 6).alias("bq"))
 
@@ -248,9 +258,18 @@ def udf_tensor_features(spark: SparkSession, d: str) -> DataFrame:
 def agg_norm_max(spark: SparkSession, d: str) -> DataFrame:
     """Highest mapping quality of the first 100,000 mapped reads in the last two thirds of the longest contig, and base quality from the 25,001st on."""
     best = table(spark, d, "contigs").agg(F.max(F.struct("len", -F.col("contig_idx"), "contig")).alias("b")).first()["b"]
-    r = table(spark, d, "alignments").filter((F.col("contig") == best["contig"]) & flag_clear(codes.UNMAPPED) & (F.col("end0") > best["len"] // 3)).select("aln_id", "platform", "start0", "mapq", "qual").distinct()
-    r = r.withColumn("rn", F.row_number().over(Window.partitionBy("platform").orderBy("start0", "aln_id"))).filter("rn <= 100000")
-    g = r.groupBy("platform").agg(F.max(F.when(F.col("rn") > 25000, F.array_max("qual"))).alias("bq"), F.max(F.when(F.col("mapq") != 255, F.col("mapq"))).alias("mq"))
+    r = table(spark, d, "alignments").filter((F.col("contig") == best["contig"]) & flag_clear(codes.UNMAPPED) & (F.col("end0") > best["len"] // 3))
+    r = materialize(r.select("aln_id", "platform", "start0", F.when(F.col("mapq") != 255, F.col("mapq")).alias("mapq"), F.array_max("qual").alias("bq")).distinct(), "norm_reads")
+    # the starts at which the ranks lie come from counts; only reads with just these starts are numbered
+    cut = key_ranks(r, "platform", "start0", {"skip": lambda n: F.least(n, F.lit(25_000)), "all": lambda n: F.least(n, F.lit(100_000))})
+    cut = cut.groupBy(F.col("platform").alias("c_platform")).agg(*[F.max(F.when(F.col("target") == t, F.col("value"))).alias(f"{t}_at") for t in ("skip", "all")])
+    r = r.join(F.broadcast(cut), r.platform.eqNullSafe(F.col("c_platform")))
+    past = r.groupBy(F.col("platform").alias("p_platform")).agg(*[F.count_if(F.col("start0") < F.col(f"{t}_at")).alias(f"before_{t}") for t in ("skip", "all")])
+    r = r.join(F.broadcast(past), r.platform.eqNullSafe(F.col("p_platform")))
+    tied = r.filter("start0 = skip_at or start0 = all_at").withColumn("rn", F.row_number().over(Window.partitionBy("platform", "start0").orderBy("aln_id")) + F.when(F.col("start0") == F.col("all_at"), F.col("before_all")).otherwise(F.col("before_skip")))
+    clear = r.filter("start0 <> skip_at and start0 < all_at").withColumn("rn", F.when(F.col("start0") > F.col("skip_at"), 25_001).otherwise(1))
+    r = clear.unionByName(tied).filter("rn <= 100000")
+    g = r.groupBy("platform").agg(F.max(F.when(F.col("rn") > 25_000, F.col("bq"))).alias("bq"), F.max("mapq").alias("mq"))
     return g.select("platform", F.coalesce(S.round_up(F.col("bq"), 5, 40), F.lit(40)).alias("bq_max"), F.coalesce(S.round_up(F.col("mq"), 10, 60), F.lit(60)).alias("mq_max"))
 
 

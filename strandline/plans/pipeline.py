@@ -6,10 +6,8 @@ import hashlib
 import json
 from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strandline.operators import fusion, pileup
 from strandline.operators.clusters import cluster_windows
@@ -31,13 +29,9 @@ class Stages:
         return self.spark.read.parquet(path)
 
 
-@F.pandas_udf(T.DoubleType())
-def default_scorer(alt: pd.Series, depth: pd.Series, bias: pd.Series) -> pd.Series:
-    """Stands in for a trained model, which isn't part of the engine: a logistic curve over alternative share, depth and strand bias."""
-    import numpy as np
-
-    x = 6.0 * alt + 0.05 * np.minimum(depth, 40) + 2.0 * bias - 2.5
-    return pd.Series(1 / (1 + np.exp(-x)))
+def default_scorer(alt: Column, depth: Column, bias: Column) -> Column:
+    """Stands in for a trained model, which isn't part of the engine: a logistic curve over alternative share, depth and strand bias. A model may be a pandas UDF of the same three columns."""
+    return 1 / (1 + F.exp(-(6.0 * alt + 0.05 * F.least(depth, F.lit(40.0)) + 2.0 * bias - 2.5)))
 
 
 def scored(features: DataFrame, scorer=None) -> DataFrame:  # noqa: ANN001
