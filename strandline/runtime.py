@@ -83,10 +83,10 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, (left[k].eqNullSafe(right[k]) for k in keys))
 
 
-def join_state(rows: DataFrame, state: DataFrame, keys: list[str], how: str, weight: str, total: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+def join_state(rows: DataFrame, state: DataFrame, keys: list[str], how: str, weight: str, total: int, limit: int = BROADCAST_ROWS, size: int | None = None) -> DataFrame:
     """Join many rows, perhaps skewed on keys, to a materialized state with few rows a key (null keys match).
 
-    state carries in ``weight`` how many rows each key has of the ``total``. Within ``limit`` rows the state is
+    state carries in ``weight`` how many rows each key has of the ``total``; size is its own number of rows, if known. Within ``limit`` rows the state is
     broadcast. Beyond it only the hot keys are, of which there are at most HOT_PART; the others, none with more rows than a task
     should take, are joined by a shuffle. how is "inner" or "left".
     """
@@ -98,7 +98,7 @@ def join_state(rows: DataFrame, state: DataFrame, keys: list[str], how: str, wei
         cond = reduce(lambda a, b: a & b, (part[k].eqNullSafe(side[n]) for k, n in names.items()))
         return part.join(side, cond, kind).drop(*names.values())
 
-    if state.count() <= limit:
+    if (state.count() if size is None else size) <= limit:
         return joined(rows, F.broadcast(right), how)
     hot = right.filter(F.col(weight) > bound)
     hot_keys = F.broadcast(hot.select(*names.values()).distinct())
