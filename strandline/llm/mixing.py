@@ -64,7 +64,7 @@ def mix_sources(
     """(position, source, ident, repeat_no, n_tokens) in training order: each use of each text, position from 0 to 1.
 
     targets has source, target_share and max_repeats. total_tokens is the size to reach; the default is the largest at
-    which no listed source with texts falls short of its share. A source gets share * total tokens, to half a text,
+    which no listed source with texts falls short of its share. A source gets share * total tokens, to half its smallest text that would still fit,
     or max_repeats times its texts if that is less. Equal texts are one text, used at most max_repeats times, under their least
     ident among listed sources. Null and empty texts have no tokens and aren't used; sources that are null, unlisted or have share 0 or
     max_repeats 0 aren't either. Listed sources without texts give no rows: the others then keep their proportions. An empty docs or targets gives
@@ -88,7 +88,14 @@ def mix_sources(
     inner = Window.partitionBy("src", "bucket").orderBy("h", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
     begin = texts.withColumn("inner", F.coalesce(F.sum("n_tokens").over(inner), F.lit(0)))
     begin = begin.join(sums.select("src", "bucket", "before"), ["src", "bucket"]).withColumn("mid", F.col("before") + F.col("inner") + F.col("n_tokens") / 2)
-    used = begin.join(plan, F.col("src") == F.col("p_source")).withColumn("uses", F.col("full") + F.when(F.col("mid") <= F.col("rest"), 1).otherwise(0))
+    # the texts that fit into the rest of the demand have one use more, and of the others the one whose size is nearest to what is then still owed
+    begin = materialize(begin.join(plan, F.col("src") == F.col("p_source")).withColumn("more", F.col("before") + F.col("inner") + F.col("n_tokens") <= F.col("rest")), "mix_begin")
+    got = begin.groupBy(F.col("src").alias("g_source")).agg((F.max("rest") - F.coalesce(F.sum(F.when(F.col("more"), F.col("n_tokens"))), F.lit(0))).alias("owed"))
+    got = materialize(got, "mix_owed")
+    near = begin.filter("not more").join(F.broadcast(got), F.col("src") == F.col("g_source")).filter("abs(n_tokens - owed) < owed")
+    near = near.groupBy(F.col("src").alias("n_source")).agg(F.min(F.struct(F.abs(F.col("n_tokens") - F.col("owed")).alias("off"), "h", "text_hash")).alias("m")).select("n_source", F.col("m.text_hash").alias("n_hash"))
+    used = begin.join(F.broadcast(materialize(near, "mix_nearest")), (F.col("src") == F.col("n_source")) & (F.col("text_hash") == F.col("n_hash")), "left")
+    used = used.withColumn("uses", F.col("full") + (F.col("more") | F.col("n_hash").isNotNull()).cast("int"))
     used = used.filter("uses > 0").withColumn("repeat_no", F.explode(F.expr("sequence(0, cast(uses as int) - 1)")))
     u = F.least(F.lit(1.0), (F.col("repeat_no") * F.col("all") + F.col("mid")) / F.col("demand"))
     parts = []

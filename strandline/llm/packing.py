@@ -2,13 +2,12 @@
 
 Items are spread over blocks by the hash of their identifier, so that a block is like the whole. The lengths a block has of
 each source, and so the deficit every source has carried when the block begins, come from a running sum over blocks before any
-is packed; all blocks then pack at once. In a block deficit round-robin over the source queues fills container after
+is packed; all blocks then pack at once. In a block deficit round-robin over all source queues fills container after
 container: the source that lags most behind its share gives its longest item that still fits, and what it lags is carried on.
 """
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Callable
 
 import numpy as np
@@ -34,6 +33,9 @@ class _Queue:
     def longest(self, room: int) -> int:
         return (self.mask & ((1 << (room + 1)) - 1)).bit_length() - 1
 
+    def shortest(self, none: int) -> int:
+        return (self.mask & -self.mask).bit_length() - 1 if self.mask else none
+
     def take(self, length: int) -> tuple[int, int, int, int, int]:
         p = self.by_length[length].pop()
         if not self.by_length[length]:
@@ -41,50 +43,34 @@ class _Queue:
         return p
 
 
-def drr_pack(pieces: dict[object, list[tuple[int, int, int, int, int]]], shares: dict[object, float], deficit: dict[object, float], capacity: int, served: int = 32) -> list[tuple]:
+def drr_pack(pieces: dict[object, list[tuple[int, int, int, int, int]]], shares: dict[object, float], deficit: dict[object, float], capacity: int) -> list[tuple]:
     """(item, piece, n_pieces, start, length, container, offset) of the pieces; deficit is where the sources stand at the start.
 
-    In every container the sources that are owed most, ``served`` of them at most, take turns until it is three quarters full; the rest goes to
-    the longest piece of any source that fits, of the source that is owed most among equals.
+    Every piece comes from the source that is owed most among those with a piece that fits, its longest that does. Where nothing would fit behind that piece, so that it closes the
+    container, the longest that fits of any source that is owed is taken instead, to leave little room; what a source is passed over for stays owed. Sources that aren't owed
+    only fill where none that is owed has a piece that fits, and sources of share 0 where no other source has.
     """
     names = list(pieces)
     queues = [_Queue(pieces[s], capacity) for s in names]
-    share, owed = np.array([shares[s] for s in names]), np.array([deficit.get(s, 0.0) for s in names])
-    has = np.array([q.mask > 0 for q in queues], bool)
-    with_length: list[set[int]] = [set() for _ in range(capacity + 1)]
-    any_length = 0
-    for i, q in enumerate(queues):
-        any_length |= q.mask
-        for n in range(1, capacity + 1):
-            if q.mask >> n & 1:
-                with_length[n].add(i)
+    share, owed = np.array([shares[s] for s in names], float), np.array([deficit.get(s, 0.0) for s in names], float)
+    last = np.where(share > 0, 0.0, -1e18)
+    none = capacity + 1
+    shortest = np.array([q.shortest(none) for q in queues])
     out, container, waiting = [], 0, sum(map(len, pieces.values()))
-
-    def give(i: int, length: int, room: int) -> int:
-        nonlocal any_length
-        out.append((*queues[i].take(length), container, capacity - room))
-        if not queues[i].mask >> length & 1:
-            with_length[length].discard(i)
-            if not with_length[length]:
-                any_length &= ~(1 << length)
-            has[i] = queues[i].mask > 0
-        owed[i] -= length
-        return room - length
-
     while waiting > len(out):
         owed += share * capacity
-        room, k = capacity, min(served, int(has.sum()))
-        first = np.argpartition(np.where(has, -owed, np.inf), k - 1)[:k].tolist()
-        turn = [(-owed[i], i) for i in first]
-        heapq.heapify(turn)
-        while turn and room * 4 >= capacity:
-            _, i = heapq.heappop(turn)
-            if (length := queues[i].longest(room)) > 0:
-                room = give(i, length, room)
-                if has[i]:
-                    heapq.heappush(turn, (-owed[i], i))
-        while (length := (any_length & ((1 << (room + 1)) - 1)).bit_length() - 1) > 0:
-            room = give(max(with_length[length], key=lambda i: (owed[i], -i)), length, room)
+        room = capacity
+        while (least := shortest.min()) <= room:
+            claim = np.where(shortest <= room, owed + last, -np.inf)
+            i = int(claim.argmax())
+            length = queues[i].longest(room)
+            if room - length < least:
+                near = claim > 0 if claim[i] > 0 else claim > -1e17 if claim[i] > -1e17 else claim > -np.inf
+                length, _, i = max((queues[j].longest(room), claim[j], j) for j in np.flatnonzero(near).tolist())
+            out.append((*queues[i].take(length), container, capacity - room))
+            shortest[i] = queues[i].shortest(none)
+            owed[i] -= length
+            room -= length
         owed -= room / len(names)
         container += 1
     return out

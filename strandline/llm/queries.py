@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandline.llm.bpe import count_tokens, encode_corpus
 from strandline.llm.mixing import mix_report, mix_sources
-from strandline.llm.multi_select import group_percentiles, merge_digests, multi_select, value_digest
+from strandline.llm.multi_select import group_percentiles, multi_select, regroup, value_digest
 from strandline.llm.packing import pack_items
 from strandline.llm.runs import collapse_runs
 from strandline.llm.top_n import top_n_per_group
 from strandline.llm.truncation import detect_truncation, length_spikes, truncation_report
-from strandline.runtime import materialize, table
+from strandline.runtime import lookup, materialize, table
 
 CAPACITY = 1024
 
@@ -62,14 +62,35 @@ def p4_archive_percentiles(spark: SparkSession, d: str) -> DataFrame:
     return p.join(meta, "archive_id", "left").select("archive_id", "n", "prob", "raw_depth", "global_median", "global_mean")
 
 
-def p4_sample_percentiles(spark: SparkSession, d: str) -> DataFrame:
-    """Percentiles of each sample from the merged digests of its archives, of two halves of the days that were digested apart."""
-    meta = table(spark, d, "depth_meta").select("archive_id", "sample_id", F.dayofmonth("run_day").alias("dom"))
-    rows = _measured(spark, d).join(meta, "archive_id").select("sample_id", "dom", "raw_depth")
-    parts = [value_digest(rows.filter(F.col("dom") % 2 == k), ["sample_id"], "raw_depth") for k in (0, 1)]
+def _rekeyed(spark: SparkSession, d: str, *groups: str) -> DataFrame:
+    """Percentiles from stored digests of each contig of each archive, put together by other groups."""
+    digest = materialize(value_digest(_measured(spark, d), ["archive_id", "contig"], "raw_depth"), "archive_digests")
+    meta = table(spark, d, "depth_meta").select("archive_id", "sample_id", "run_day")
     targets = {str(p): (lambda n, p=p: F.ceil(n * p / 100)) for p in (5, 25, 50, 75, 95)}
-    found = multi_select(merge_digests(*parts), ["sample_id"], targets)
-    return found.select("sample_id", "n", F.col("target").cast("int").alias("percent"), F.col("code").cast("int").alias("raw_depth"))
+    found = multi_select(regroup(digest.join(meta, "archive_id"), list(groups)), list(groups), targets)
+    return found.select(*groups, "n", F.col("target").cast("int").alias("percent"), F.col("code").cast("int").alias("raw_depth"))
+
+
+def p4_sample_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    return _rekeyed(spark, d, "sample_id")
+
+
+def p4_day_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    return _rekeyed(spark, d, "run_day")
+
+
+def p4_contig_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    return _rekeyed(spark, d, "contig")
+
+
+def p4_norm_bounded(spark: SparkSession, d: str) -> DataFrame:
+    """Percentiles of the normalised depth of each archive from digests with an error of 1 %, beside the exact ones: whether each keeps to its bound."""
+    m = table(spark, d, "depth_norm").select("archive_id", "contig", "pos", "norm").filter("norm is not null").distinct()
+    probs = [0.07, 0.5, 0.55, 0.95]
+    near = group_percentiles(m, ["archive_id"], "norm", probs, 0.01).select(F.col("archive_id").alias("a"), F.col("prob").alias("p"), F.col("norm").cast("double").alias("near"))
+    both = group_percentiles(m, ["archive_id"], "norm", probs).join(near, F.col("archive_id").eqNullSafe(F.col("a")) & (F.col("prob") == F.col("p")), "left")
+    # a FLOAT holds seven digits
+    return both.select("archive_id", "n", "prob", F.round("norm", 5).alias("norm"), (F.abs(F.col("near") - F.col("norm")) <= F.abs("norm") * 0.010001).alias("bounded"))
 
 
 def _items(spark: SparkSession, d: str, name: str, ident: str) -> DataFrame:
@@ -102,6 +123,33 @@ def p5_room(spark: SparkSession, d: str) -> DataFrame:
     return both.select("layout", "units", "used_cols", "all_cols", (1 - F.col("used_cols") / F.col("all_cols")).alias("unused_share"))
 
 
+def p5_placed(spark: SparkSession, d: str) -> DataFrame:
+    """Of every item the columns and pieces that were placed, and whether they lie apart from others in containers that hold them."""
+    p = materialize(p5_packing(spark, d), "packed")
+    by = Window.partitionBy("block", "container").orderBy("offset")
+    full = p.filter("container is not null").withColumn("fits", F.col("offset") + F.col("length") <= F.coalesce(F.lead("offset").over(by), F.lit(CAPACITY)))
+    every = full.unionByName(p.filter("container is null").withColumn("fits", F.lit(True)))
+    return every.groupBy("item_id").agg(F.sum("length").alias("n_cols"), F.max("n_pieces").alias("n_pieces"), F.min("fits").alias("fits"))
+
+
+#: Given shares of two groups of contigs, which aren't those they have in the data; batches without a known contig only fill.
+MIXTURE = {"odd": 0.3, "even": 0.7}
+
+
+def p5_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """The shares that given sources reach in the containers which a block fills before it has used one of them up."""
+    group = table(spark, d, "contigs").select(F.col("contig").alias("c"), F.when(F.col("contig_idx") % 2 == 0, "even").otherwise("odd").alias("part"))
+    items = lookup(_items(spark, d, "encoded_batches", "batch_id"), "chrom", materialize(group, "groups"), "c").select("item_id", F.coalesce("part", F.lit("other")).alias("part"), "n_cols")
+    items = materialize(items.distinct(), "mixture_items")
+    p = pack_items(items, "item_id", "part", "n_cols", CAPACITY, MIXTURE).filter("container is not null")
+    p = materialize(p.join(items.filter("n_cols > 0").groupBy(F.col("item_id").alias("i")).agg(F.min("part").alias("part")), F.col("item_id") == F.col("i")), "mixture")
+    ends = p.filter(F.col("part").isin(*MIXTURE)).groupBy(F.col("block").alias("b"), "part").agg(F.max("container").alias("last")).groupBy("b").agg(F.min("last").alias("last"))
+    mixed = materialize(p.join(ends, F.col("block") == F.col("b")).filter("container < last").groupBy("part").agg(F.sum("length").alias("cols")), "mixed")
+    total = mixed.agg(F.sum("cols")).first()[0] or 1
+    share = F.create_map(*[F.lit(x) for kv in MIXTURE.items() for x in kv])[F.col("part")]
+    return mixed.select("part", F.coalesce(share, F.lit(0.0)).alias("target_share"), "cols", F.round(F.col("cols") / F.lit(total), 4).alias("mixed_share"))
+
+
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_corpus(table(spark, d, "documents"), "doc_id", "text")
 
@@ -130,11 +178,17 @@ def p8_source_shares(spark: SparkSession, d: str) -> DataFrame:
     return truncation_report(docs, materialize(detect_truncation(docs), "cut_found"))
 
 
+def p8_evidence(spark: SparkSession, d: str) -> DataFrame:
+    """By which evidence texts were found: at a spike of the histogram, or by the second stage."""
+    found = detect_truncation(table(spark, d, "documents"))
+    return found.groupBy("source", "evidence").agg(F.count("*").alias("n"))
+
+
 def p8_limits(spark: SparkSession, d: str) -> DataFrame:
-    return length_spikes(table(spark, d, "documents").filter("source is not null"), "source", "text").select("source", "unit", "length", "n")
+    return length_spikes(table(spark, d, "documents"), "source", "text").select("source", "unit", "length", "n")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_run_lengths, p3_found, p4_found, p4_archive_percentiles, p4_sample_percentiles, p5_found, p5_packing, p5_room, p6_ids, p6_token_counts, p7_mix, p7_shares, p8_found, p8_source_shares, p8_limits)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_run_lengths, p3_found, p4_found, p4_archive_percentiles, p4_sample_percentiles, p4_day_percentiles, p4_contig_percentiles, p4_norm_bounded, p5_found, p5_packing, p5_placed, p5_mixture, p5_room, p6_ids, p6_token_counts, p7_mix, p7_shares, p8_found, p8_source_shares, p8_evidence, p8_limits)}
 
 #: Runs of 2 bases and more: number the events that aren't neutral, and begin a run where the base changes or the gap is wider than 2.
 _RUNS = """
@@ -158,8 +212,20 @@ ORACLE = {
     "p4_archive_percentiles": f"""with {_MEASURED}, q as (select archive_id, count(*) as n, unnest([0.05, 0.25, 0.5, 0.75, 0.95])::double as prob,
         unnest(quantile_disc(raw_depth, [0.05, 0.25, 0.5, 0.75, 0.95])) as raw_depth from m group by 1)
         select archive_id, n, prob, raw_depth, global_median, global_mean from q left join depth_meta using (archive_id)""",
-    "p4_sample_percentiles": f"""with {_MEASURED} select sample_id, count(*) as n, unnest([5, 25, 50, 75, 95])::int as "percent", unnest(quantile_disc(raw_depth, [0.05, 0.25, 0.5, 0.75, 0.95])) as raw_depth
-        from m join depth_meta using (archive_id) group by 1""",
+    **{
+        f"p4_{name}_percentiles": f"""with {_MEASURED} select {col}, count(*) as n, unnest([5, 25, 50, 75, 95])::int as "percent", unnest(quantile_disc(raw_depth, [0.05, 0.25, 0.5, 0.75, 0.95])) as raw_depth
+        from m join depth_meta using (archive_id) group by 1"""
+        for name, col in (("sample", "sample_id"), ("day", "run_day"), ("contig", "contig"))
+    },
+    "p4_norm_bounded": """select archive_id, count(*) as n, unnest([0.07, 0.5, 0.55, 0.95])::double as prob, round(unnest(quantile_disc(norm, [0.07, 0.5, 0.55, 0.95])), 5) as norm, true as bounded
+        from (select distinct archive_id, contig, pos, norm from depth_norm where norm is not null) group by 1""",
+    "p5_placed": """select batch_id as item_id, n::bigint as n_cols, ((n + 1023) // 1024)::bigint as n_pieces, true as fits from (select distinct batch_id, coalesce(len(list_filter(ref_seq, lambda x: x <> 7)), 0) as n from encoded_batches)""",
+    "p8_limits": """with u as (select source, unnest([{'unit': 'chars', 'length': length(text)}, {'unit': 'bytes', 'length': strlen(text)}]) as u from documents where text is not null),
+        h as (select source, u.unit as unit, u.length as length, count(*) as n from u group by all),
+        w as (select *, sum(n) over (partition by source, unit order by length range between 50 preceding and 50 following) - n as near,
+            coalesce(sum(n) over (partition by source, unit order by length range between 50 preceding and 8 preceding), 0) as before,
+            coalesce(sum(n) over (partition by source, unit order by length range between 8 following and 50 following), 0) as after from h)
+        select source, unit, length::int as length, n from w where n >= 5 and n >= 8 * near / 100.0 and after <= before + n * 0.05""",
     "p5_found": """select distinct 'encoded_batches' as tbl, batch_id as item_id from encoded_batches where len(list_filter(ref_seq, lambda x: x <> 7)) > 1024
         union all select distinct 'padded_batches', padded_id from padded_batches where len(list_filter(ref_seq, lambda x: x <> 7)) > 1024""",
 }

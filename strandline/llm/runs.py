@@ -86,7 +86,8 @@ def collapse_runs(df: DataFrame, ident: str, seq: str, neutral: tuple[int, ...]
     """
     name = df.schema[ident].name
     spark_type = df.schema[ident].dataType.simpleString()
-    rows = df.select(F.col(ident).alias("id"), F.col(seq).cast("array<smallint>").alias("s")).filter("size(s) > 0")
+    wide = "array<bigint>" if df.schema[seq].dataType.simpleString() == "array<bigint>" else "array<int>"
+    rows = df.select(F.col(ident).alias("id"), F.col(seq).cast(wide).alias("s")).filter("size(s) > 0")
     neutral_set, wall_set = set(neutral), {*wall, -1}
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
