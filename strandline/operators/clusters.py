@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.operators.intervals import islands
@@ -44,3 +44,10 @@ def cluster_windows(df: DataFrame, contig: str, pos: str, merge_dist: int = 20,
 
     grouped = islands(df, contig, pos, merge_dist).withColumn("block", F.floor(F.col("island") / block))
     return grouped.groupBy("contig", "block").applyInPandas(cluster, WINDOW)
+
+
+def number_gaps(grouped: DataFrame) -> DataFrame:
+    """grouped (contig, pos, island) with i, the place of a position in its island from 1, the gap to the next one, null at the end, and its rank, the least gap first."""
+    by = Window.partitionBy("contig", "island")
+    g = grouped.withColumn("i", F.row_number().over(by.orderBy("pos"))).withColumn("gap", F.lead("pos").over(by.orderBy("pos")) - F.col("pos"))
+    return g.withColumn("rank", F.row_number().over(by.orderBy(F.col("gap").asc_nulls_last(), "pos")))

@@ -40,6 +40,12 @@ def select_reads(pairs: DataFrame, depth: int = 30) -> DataFrame:
     return p.withColumn("row", F.row_number().over(group.orderBy("start0", "aln_id")) - 1).drop("reach")
 
 
+def stack_platforms(selected: DataFrame) -> DataFrame:
+    """selected with stacked: the place of a read from 0 when the rows of a window's platforms stand one below the other, short reads first, the others by name."""
+    w = Window.partitionBy("batch_id").orderBy(F.col("platform") != "ILLUMINA", "platform", "row")
+    return selected.withColumn("stacked", F.row_number().over(w) - 1)
+
+
 def insertions(selected: DataFrame, max_insert: int = 15) -> DataFrame:
     """(batch_id, pos, ins): the longest insertion of at most max_insert bases after each position of a window, over all platforms."""
     ops = S.walk_ops(selected, ["batch_id", "win_s", "win_e"]).filter((F.col("op") == "I") & (F.col("len") <= max_insert))

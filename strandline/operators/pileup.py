@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -228,6 +231,28 @@ def _own_bin(pos: Column, size: int, halo: int) -> Column:
     return F.floor(F.greatest(pos - halo, F.lit(0)) / size)
 
 
+EPS = 1e-6
+#: Kinds of difference: counts by strand, summed qualities, number.
+KINDS = {"snp": ("mis_f", "mis_r", "mis_bq", "mis_mq", "n_mis"), "ind": ("indel_f", "indel_r", "indel_bq", "indel_mq", "n_indel")}
+
+
+def depth6(c: Callable[[str], Column]) -> Column:
+    """Depth of a position: matches, mismatches and indels of both strands; an insertion counts on top of the base it stands behind. c gives the column of a sum."""
+    return reduce(lambda a, b: a + b, map(c, SUMS[:6]))
+
+
+def vaf(n: Column, depth: Column) -> Column:
+    return n / (depth + EPS)
+
+
+def strand_bias(forward: Column, reverse: Column) -> Column:
+    return F.least(forward, reverse) / (forward + reverse + EPS)
+
+
+def mean_quality(total: Column, n: Column) -> Column:
+    return total / (n + EPS)
+
+
 def features(p: DataFrame, contigs: DataFrame, min_alt: int = 2) -> DataFrame:
     """The features of positions where at least min_alt reads of a platform differ, in the order that a model takes them."""
     d = local_alt(dual(p)).filter((F.col("i_alt") >= min_alt) | (F.col("o_alt") >= min_alt))
@@ -237,12 +262,10 @@ def features(p: DataFrame, contigs: DataFrame, min_alt: int = 2) -> DataFrame:
     place = (F.col("pos") - F.col("bin") * CHUNK).cast("int")
     d = d.join(pieces, ["contig", "bin"]).filter(place < F.col("lead") + F.col("own"))
     d = d.withColumn("gc", gc_of(F.col("chunk"), place, 10)).withColumn("repeat_len", F.get("repeats", place - F.col("lead"))).drop("bin", "chunk", "lead", "own", "repeats")
-    eps = 1e-6
     cols = [F.col("contig"), F.col("pos")]
     for k in ("i", "o"):
         c = lambda name, k=k: F.col(f"{k}_{name}")
-        depth = c("match_f") + c("match_r") + c("mis_f") + c("mis_r") + c("indel_f") + c("indel_r")
-        cols.append(depth.cast("double").alias(f"depth_{k}"))
-        for kind, f, r, bq, mq, n in (("snp", "mis_f", "mis_r", "mis_bq", "mis_mq", "n_mis"), ("ind", "indel_f", "indel_r", "indel_bq", "indel_mq", "n_indel")):
-            cols += [(c(n) / (depth + eps)).alias(f"{kind}_vaf_{k}"), (F.least(c(f), c(r)) / (c(f) + c(r) + eps)).alias(f"{kind}_sb_{k}"), (c(bq) / (c(n) + eps)).alias(f"{kind}_bq_{k}"), (c(mq) / (c(n) + eps)).alias(f"{kind}_mq_{k}")]
+        cols.append(depth6(c).cast("double").alias(f"depth_{k}"))
+        for kind, (f, r, bq, mq, n) in KINDS.items():
+            cols += [vaf(c(n), depth6(c)).alias(f"{kind}_vaf_{k}"), strand_bias(c(f), c(r)).alias(f"{kind}_sb_{k}"), mean_quality(c(bq), c(n)).alias(f"{kind}_bq_{k}"), mean_quality(c(mq), c(n)).alias(f"{kind}_mq_{k}")]
     return d.select(*cols, F.col("i_local").alias("local_i"), F.col("o_local").alias("local_o"), "gc", F.col("repeat_len").cast("double").alias("repeat_len"))

@@ -9,7 +9,7 @@ from strandline import codes
 from strandline.functions import sequence as S
 from strandline.operators import alignment_filter as A
 from strandline.operators import encode as E
-from strandline.operators.clusters import cluster_windows
+from strandline.operators.clusters import cluster_windows, number_gaps
 from strandline.operators.intervals import islands, overlap_join
 from strandline.plans.function_queries import SQL_CLIP, SQL_MD, sql_sum
 from strandline.runtime import materialize, table
@@ -235,6 +235,18 @@ _ISL = f"""{_POS}, isl as (select contig, pos, max(case when new then pos end) o
     (select *, coalesce(pos - lag(pos) over (partition by contig order by pos) > 20, true) as new from t))"""
 
 
+@on_windows("sort_reads", f"with {_SEL} select batch_id, platform, rowno::int as rowno, aln_id, start0 from s")
+def sort_reads(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
+    """The chosen reads of a window and platform by start: their rows in the tensor."""
+    return E.select_reads(pairs).select("batch_id", "platform", F.col("row").alias("rowno"), "aln_id", "start0")
+
+
+@on_windows("set_stack_platforms", f"with {_SEL} select batch_id, aln_id, platform, (row_number() over (partition by batch_id order by platform <> 'ILLUMINA', platform, rowno) - 1)::int as stacked from s")
+def set_stack_platforms(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
+    """The rows of all platforms of a window one below the other, short reads first."""
+    return E.stack_platforms(E.select_reads(pairs)).select("batch_id", "aln_id", "platform", "stacked")
+
+
 def _targets(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "encoded_batches").select(F.col("chrom").alias("contig"), F.explode("targets_ref_pos").alias("pos"))
 
@@ -249,6 +261,19 @@ def win_islands(spark: SparkSession, d: str) -> DataFrame:
     return islands(_targets(spark, d), "contig", "pos").groupBy("contig", "island").agg(F.count("*").alias("n"), F.max("pos").alias("last"))
 
 
+@query("sort_candidates", f"with {_ISL} select contig, island, pos, row_number() over (partition by contig, island order by pos)::int as i from isl")
+def sort_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct positions in order, island by island, which is the order within a contig."""
+    return number_gaps(islands(_targets(spark, d), "contig", "pos")).select("contig", "island", "pos", "i")
+
+
+@query("sort_gaps", f"""with {_ISL}, gp as (select contig, island, pos, lead(pos) over (partition by contig, island order by pos) - pos as gap from isl)
+    select contig, island, pos, gap, row_number() over (partition by contig, island order by gap, pos)::int as rank from gp where gap is not null""")
+def sort_gaps(spark: SparkSession, d: str) -> DataFrame:
+    """The gaps between neighbours of an island from the least, the earlier first among equals: the order in which clustering joins them."""
+    return number_gaps(islands(_targets(spark, d), "contig", "pos")).filter("gap is not null").select("contig", "island", "pos", "gap", "rank")
+
+
 @query("win_cluster")
 def win_cluster(spark: SparkSession, d: str) -> DataFrame:
     return cluster_windows(_targets(spark, d), "contig", "pos")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -150,7 +152,12 @@ def win_repeat(spark: SparkSession, d: str) -> DataFrame:
     return P.repeats(table(spark, d, "contigs"))
 
 
-def _features_sql() -> str:
+def _features_sql(rounded: bool = True) -> str:
+    sql = _rounded_features_sql()
+    return sql if rounded else re.sub(r"round\((.*?), [34]\) as", r"\1 as", sql)
+
+
+def _rounded_features_sql() -> str:
     cols = []
     for k in ("i", "o"):
         depth = "(" + " + ".join(f"{k}_{c}" for c in P.SUMS[:6]) + ")"
@@ -170,3 +177,30 @@ def prj_features(spark: SparkSession, d: str) -> DataFrame:
     f = P.features(_pile(spark, d), table(spark, d, "contigs"))
     digits = lambda c: 3 if "_bq_" in c or "_mq_" in c else 4
     return f.select("contig", "pos", *[F.col(c) if c.startswith("depth") or c == "repeat_len" else F.round(c, digits(c)).alias(c) for c in f.columns[2:]])
+
+
+_SIX = " + ".join(P.SUMS[:6])
+
+
+def _each(spark: SparkSession, d: str, *cols) -> DataFrame:  # noqa: ANN002
+    return _pile(spark, d).select("contig", "pos", "platform", *cols)
+
+
+@query("fn_pos_depth6", f"with {_PILE} select contig, pos, platform, ({_SIX})::bigint as depth from pile")
+def fn_pos_depth6(spark: SparkSession, d: str) -> DataFrame:
+    return _each(spark, d, P.depth6(F.col).alias("depth"))
+
+
+@query("fn_vaf", f"with {_PILE} select contig, pos, platform, round(n_mis / ({_SIX} + 1e-6), 4) as snp_vaf, round(n_indel / ({_SIX} + 1e-6), 4) as ind_vaf from pile")
+def fn_vaf(spark: SparkSession, d: str) -> DataFrame:
+    return _each(spark, d, *[F.round(P.vaf(F.col(n), P.depth6(F.col)), 4).alias(f"{k}_vaf") for k, (*_, n) in P.KINDS.items()])
+
+
+@query("fn_strand_bias", f"with {_PILE} select contig, pos, platform, round(least(mis_f, mis_r) / (mis_f + mis_r + 1e-6), 4) as snp_sb, round(least(indel_f, indel_r) / (indel_f + indel_r + 1e-6), 4) as ind_sb from pile")
+def fn_strand_bias(spark: SparkSession, d: str) -> DataFrame:
+    return _each(spark, d, *[F.round(P.strand_bias(F.col(f), F.col(r)), 4).alias(f"{k}_sb") for k, (f, r, *_) in P.KINDS.items()])
+
+
+@query("fn_mean_q", f"with {_PILE} select contig, pos, platform, round(mis_bq / (n_mis + 1e-6), 3) as snp_bq, round(mis_mq / (n_mis + 1e-6), 3) as snp_mq, round(indel_bq / (n_indel + 1e-6), 3) as ind_bq, round(indel_mq / (n_indel + 1e-6), 3) as ind_mq from pile")
+def fn_mean_q(spark: SparkSession, d: str) -> DataFrame:
+    return _each(spark, d, *[F.round(P.mean_quality(F.col(q), F.col(n)), 3).alias(f"{k}_{name}") for k, (_, _, bq, mq, n) in P.KINDS.items() for name, q in (("bq", bq), ("mq", mq))])

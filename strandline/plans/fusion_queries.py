@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions import probability as P
 from strandline.operators import fusion as U
-from strandline.runtime import materialize, table
+from strandline.runtime import materialize, scratch_dir, table
+from strandline.sources import text as X
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -226,7 +229,9 @@ def sort_variants(spark: SparkSession, d: str) -> DataFrame:
 
 @query("snk_vcf")
 def snk_vcf(spark: SparkSession, d: str) -> DataFrame:
-    return U.vcf_rows(_variants(spark, d))
+    """The file with its header, as it is read again, line by line."""
+    X.write_vcf(U.vcf_rows(_variants(spark, d)), path := f"{scratch_dir(spark)}/vcf-{uuid.uuid4().hex}")
+    return spark.read.text(path)
 
 
 @query("jn_variant_ref")

@@ -6,8 +6,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from strandline import codes
+from strandline.functions import casts as C
 from strandline.functions import sequence as S
 from strandline.operators import encode as E
 from strandline.operators.alignment_filter import flag_clear
@@ -311,7 +313,8 @@ def udf_gbm_filter(spark: SparkSession, d: str) -> DataFrame:
     return scored(f.select(*digits)).select("contig", "pos", F.round("prob", 2).alias("prob"))
 
 
-@query("flt_threshold")
+@query("flt_threshold", f"""with f as ({_features_sql(False)}), sc as (select contig, pos, 1 / (1 + exp(-(6.0 * greatest(snp_vaf_i, ind_vaf_i, snp_vaf_o, ind_vaf_o) + 0.05 * least(depth_i + depth_o, 40) + 2.0 * greatest(snp_sb_i, ind_sb_i, snp_sb_o, ind_sb_o) - 2.5))) as prob from f)
+    select contig, pos from sc where prob >= 0.5""")
 def flt_threshold(spark: SparkSession, d: str) -> DataFrame:
     f = features(pileup(table(spark, d, "alignments"), table(spark, d, "contigs")), table(spark, d, "contigs"))
     return scored(f).filter("prob >= 0.5").select("contig", "pos")
@@ -328,3 +331,25 @@ def stream_primary_reads(spark: SparkSession, d: str) -> DataFrame:
     """The stateless filter as a stream over the delivered files, run to their end."""
     s = primary_reads(stream_table(spark, d, "alignments")).select("aln_id", "contig", "start0", "end0")
     return run_to_end(s, "stream_reads")
+
+
+@query("snk_exists_guard", "select contig, len from contigs")
+def snk_exists_guard(spark: SparkSession, d: str) -> DataFrame:
+    """A table written where nothing was, and what is there after a second write was refused."""
+    c = table(spark, d, "contigs").select("contig", "len")
+    c.write.mode("errorifexists").parquet(path := _path(spark, "guarded"))
+    try:
+        c.limit(0).write.mode("errorifexists").parquet(path)
+    except AnalysisException:
+        return spark.read.parquet(path)
+    raise RuntimeError("an output was overwritten")
+
+
+@query("fn_coerce", """select window_id, u.i - 1 as ord, case when u.s.pos >= 0 then u.s.pos end::bigint as pos, case when u.s."offset" >= 0 then u.s."offset" end::bigint as "offset", u.s.p_het as p_het, len(list_filter(u.s.reads, lambda r: r.rid >= 0)) as n_index_rids
+    from (select window_id, unnest(list_transform(sites, lambda s, i: {'i': i, 's': s})) as u from (select distinct on (window_id) * from prediction_windows))""")
+def fn_coerce(spark: SparkSession, d: str) -> DataFrame:
+    """The numbers of sites, from their texts as a loosely typed file holds them, as indexes and floats; null where they are none. The checked form raises an error instead."""
+    s = table(spark, d, "prediction_windows").dropDuplicates(["window_id"]).select("window_id", F.posexplode("sites").alias("ord", "s"))
+    rids = F.size(F.filter(C.to_indexes(F.transform("s.reads", lambda r: r["rid"].cast("string")), False), lambda v: v.isNotNull()))
+    text = lambda c: F.col(f"s.{c}").cast("string")
+    return s.select("window_id", F.col("ord").cast("bigint").alias("ord"), C.to_index(text("pos"), False).alias("pos"), C.to_index(text("offset"), False).alias("offset"), C.to_float(text("p_het"), False).alias("p_het"), F.when(F.col("s.reads").isNotNull(), rids).cast("bigint").alias("n_index_rids"))
