@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from strandline.llm.multi_select import group_percentiles, merge_digests, multi_select, value_digest
+from strandline.llm.multi_select import group_percentiles, merge_digests, multi_select, regroup, value_digest
 from strandline.llm.runs import collapse_runs
 from strandline.llm.top_n import top_n_per_group
 
@@ -92,3 +92,38 @@ def test_percentile_error_is_bounded(spark):
     assert value_digest(df, ["k"], "v", 0.05).count() < value_digest(df, ["k"], "v").count() / 5
     for r in group_percentiles(df, ["k"], "v", [0.1, 0.5, 0.9], 0.05).collect():
         assert abs(r["v"] - pct(vs, r["prob"])) <= 0.05 * pct(vs, r["prob"]) + 1
+
+
+def test_relative_error_holds_for_fractions_and_signs(spark):
+    rng = random.Random(9)
+    vs = [i / 10 for i in range(1, 10)] + [rng.lognormvariate(0, 8) * rng.choice([-1, 1]) for _ in range(800)] + [0.0, -0.0, math.inf, -math.inf, math.nan, None]
+    df = spark.createDataFrame([("a", v) for v in vs] + [("t", i / 10) for i in range(1, 10)], "k string, v double")
+    for e in (0.01, 0.2):
+        probs = [0.001, 0.07, 0.3, 0.5, 0.55, 0.999]
+        for k, mine in (("a", [v for v in vs if v is not None and not math.isnan(v)]), ("t", [i / 10 for i in range(1, 10)])):
+            for r in group_percentiles(df.filter(F.col("k") == k), ["k"], "v", probs, e).collect():
+                want = pct(mine, r["prob"])
+                assert r["v"] == want if math.isinf(want) else abs(r["v"] - want) <= e * abs(want)
+    ints = spark.createDataFrame([("a", v) for v in [-7, 0, 3, 99, 100, 101, -5000, 10**15]], "k string, v bigint")
+    exact = {r["prob"]: r["v"] for r in group_percentiles(ints, ["k"], "v", [0.25, 0.375, 0.5], 0.01).collect()}
+    assert exact == {0.25: -7, 0.375: 0, 0.5: 3}
+
+
+def test_ranks_are_those_of_the_written_decimals(spark):
+    df = spark.range(1, 101).select(F.lit("k").alias("k"), F.col("id").alias("v"))
+    got = {r["prob"]: r["v"] for r in group_percentiles(df, ["k"], "v", [0.07, 0.28, 0.55, 0.57]).collect()}
+    assert got == {0.07: 7, 0.28: 28, 0.55: 55, 0.57: 57}
+
+
+def test_digests_of_archives_make_one_of_their_day(spark):
+    rng = random.Random(10)
+    rows = [(rng.randint(1, 9), rng.randint(-20, 20)) for _ in range(600)]
+    df = spark.createDataFrame(rows, "archive int, v int")
+    by_day = value_digest(df, ["archive"], "v").withColumn("day", F.col("archive") % 2)
+    got = {r["day"]: r["code"] for r in multi_select(regroup(by_day, ["day"]), ["day"], {"m": lambda n: F.ceil(n / 2)}).collect()}
+    assert got == {d: pct([v for a, v in rows if a % 2 == d], 0.5) for d in (0, 1)}
+
+
+def test_runs_of_large_codes(spark):
+    df = spark.createDataFrame([(1, [70_000, 70_000, 2**31 - 1])], "id bigint, s array<int>")
+    assert [tuple(r)[3:5] for r in collapse_runs(df, "id", "s").orderBy("first_col").collect()] == [(70_000, 2), (2**31 - 1, 1)]

@@ -40,6 +40,33 @@ def test_packing_keeps_shares(spark):
     assert sum(200 <= (x or 0) <= 300 for x in mid) >= 0.9 * len(mid)
 
 
+def test_sources_without_a_claim_only_fill(spark):
+    rng = random.Random(12)
+    rows = [(i, f"s{i % 50}", rng.randint(20, 700)) for i in range(3000)]
+    rows += [(5000 + i, "none", rng.randint(1, 700)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id bigint, src string, n int")
+    p = pack_items(df, "id", "src", "n", 1024, {f"s{k}": 0.02 for k in range(50)}, block_items=3000).join(df.withColumnRenamed("id", "i"), F.col("id") == F.col("i"))
+    c = p.groupBy("block", "container").agg(F.sum("length").alias("used"), F.sum(F.when(F.col("src") == "none", F.col("length")).otherwise(0)).alias("free"))
+    named = c.filter("free < used")
+    total, free = named.agg(F.sum("used"), F.sum("free")).first()
+    # beside fifty sources that are owed the one without a claim fills what none of their items fits
+    assert free < 0.03 * total
+    assert c.agg(F.sum("used") / (F.count("*") * 1024)).first()[0] > 0.97
+
+
+def test_many_sources_keep_their_shares(spark):
+    rng = random.Random(13)
+    share = {f"s{k}": (k + 1) / 5050 for k in range(100)}
+    rows = [(i, rng.choice(list(share)), rng.randint(5, 60)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "id bigint, src string, n int")
+    p = pack_items(df, "id", "src", "n", 1024, share, block_items=6000).join(df.withColumnRenamed("id", "i"), F.col("id") == F.col("i"))
+    # the largest source of 200 or so containers' worth is used up first; before that each has its share to two items
+    end = p.groupBy("src").agg(F.max("container").alias("last")).agg(F.min("last")).first()[0]
+    got = {r["src"]: r["n"] for r in p.filter(F.col("container") < end).groupBy("src").agg(F.sum("length").alias("n")).collect()}
+    total = sum(got.values())
+    assert end > 20 and all(abs(got.get(s, 0) - w * total) <= 130 for s, w in share.items())
+
+
 def test_tokens_match_the_public_library(spark):
     tokenizers = pytest.importorskip("tokenizers")
     t = tokenizers.Tokenizer.from_file(default_vocab())
@@ -90,6 +117,15 @@ def test_mixing(spark):
     assert mix_sources(d.limit(0), t).count() == 0 and mix_sources(d, t.limit(0)).count() == 0
 
 
+def test_last_use_goes_by_the_size_still_owed(spark):
+    rows = [(i, "a", "word " * n) for i, n in enumerate([400, 300, 200, 90, 40, 7, 3])] + [(100 + i, "b", f"{i} " + "text " * 50) for i in range(20)]
+    d = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    t = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
+    for total in (300, 700, 1100, 1700):
+        got = {r["source"]: r["used_tokens"] for r in mix_report(mix_sources(d, t, total_tokens=total), t).collect()}
+        assert abs(got["b"] - total / 2) <= 30 and abs(got["a"] - total / 2) <= 110
+
+
 def test_schedules_integrate_to_one_and_keep_the_sum():
     s = ramped({"a": 0.6, "b": 0.4}, {"a": 1.0, "b": 4.0}, 0.5)
     for t in (0, 1):
