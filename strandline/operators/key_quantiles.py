@@ -96,9 +96,11 @@ def hot_keys(df: DataFrame, key: str, share: float, label: str, code_bits: int =
     """
     steps = math.ceil(1 / share)
     code = F.shiftrightunsigned(F.xxhash64(F.col(key).cast("string")), 64 - code_bits)
-    coded = df.select(F.lit(label).alias("tbl"), F.col(key).alias("contig"), F.when(F.col(key).isNotNull(), code).alias("code"))
+    coded = df.select(F.col(key).alias("contig"), F.when(F.col(key).isNotNull(), code).alias("code"))
+    # one group of all rows: what is above the code's bits is 0
+    coded = coded.withColumn("all", F.coalesce(F.shiftrightunsigned("code", code_bits), F.lit(0)))
     ranks = {str(i): (lambda n, i=i: F.ceil(exact_part(n, share) * i)) for i in range(1, steps + 1)}
-    picked = materialize(key_ranks(coded, "tbl", "code", ranks).select("n_rows", F.col("value").alias("c")).filter("c is not null").distinct(), "hot_codes")
+    picked = materialize(key_ranks(coded, "all", "code", ranks).select("n_rows", F.col("value").alias("c")).filter("c is not null").distinct(), "hot_codes")
     # at most steps rows
-    counts = coded.join(F.broadcast(picked), F.col("code") == F.col("c")).groupBy("tbl", "contig", "n_rows").agg(F.count("*").alias("n"))
-    return counts.filter(F.col("n") >= exact_part(F.col("n_rows"), share)).select("tbl", "contig")
+    counts = coded.join(F.broadcast(picked), F.col("code") == F.col("c")).groupBy("contig", "n_rows").agg(F.count("*").alias("n"))
+    return counts.filter(F.col("n") >= exact_part(F.col("n_rows"), share)).select(F.lit(label).alias("tbl"), "contig")
