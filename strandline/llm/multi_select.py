@@ -1,9 +1,9 @@
 """Percentiles of every group by distributed multi-select over mergeable value counts.
 
 A digest holds (group, value, weight) rows. Digests of separate partitions, archives or days merge by union. All groups
-and ranks are searched at once: every partition proposes the weighted median of its values still in range, and its other eighths beside it; the weighted medians of the
+and ranks are searched at once: every partition proposes the weighted median of its values still in range, and its other quarters beside it; the weighted medians of the
 proposals become the pivots, weights are counted below, at and above each pivot, and the ranges that can't hold the rank are discarded, until each
-rank is found. One pass a round does both: with its counts a partition proposes the eighths of each part between the pivots, as
+rank is found. One pass a round does both: with its counts a partition proposes the quarters of each part between the pivots, as
 one of these is the next range. When less than half of the rows are still in a range, only those are kept for the next rounds.
 """
 
@@ -52,7 +52,7 @@ def merge_digests(*digests: DataFrame) -> DataFrame:
 
 
 #: A round's pivots for each rank.
-PIVOTS = 7
+PIVOTS = 3
 PROPOSED = [("weight", "bigint"), ("rows", "bigint"), *((f"q{j}", "bigint") for j in range(1, PIVOTS + 1))]
 
 
@@ -66,7 +66,7 @@ def _marks(x: pd.DataFrame, by: list[str], value: str, parts: int, js: range) ->
 
 
 def _propose(mine: list[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """For each rank (mine) and part of its range the weight and rows that a partition has there, and where the part's weight reaches each eighth."""
+    """For each rank (mine) and part of its range the weight and rows that a partition has there, and where the part's weight reaches each quarter."""
     by, names = [*mine, "part"], [n for n, _ in PROPOSED]
 
     def gathered(parts: list[pd.DataFrame]) -> pd.DataFrame:
@@ -80,8 +80,8 @@ def _propose(mine: list[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.
     def propose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts, held = [], 0
         for x in batches:
-            groups, eighths = _marks(x.assign(rows=1), by, "code", PIVOTS + 1, range(1, PIVOTS + 1))
-            parts.append(groups[[*by, "weight", "rows"]].reset_index(drop=True).assign(**dict(zip(names[2:], eighths))))
+            groups, quarters = _marks(x.assign(rows=1), by, "code", PIVOTS + 1, range(1, PIVOTS + 1))
+            parts.append(groups[[*by, "weight", "rows"]].reset_index(drop=True).assign(**dict(zip(names[2:], quarters))))
             held += len(parts[-1])
             if held > 500_000:
                 parts = [gathered(parts)]
