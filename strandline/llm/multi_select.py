@@ -1,9 +1,9 @@
 """Percentiles of every group by distributed multi-select over mergeable value counts.
 
 A digest holds (group, value, weight) rows. Digests of separate partitions, archives or days merge by union. All groups
-and ranks are searched at once: every partition proposes the weighted median of its values still in range, and its other quarters beside it; the weighted medians of the
+and ranks are searched at once: every partition proposes the weighted median of its values still in range, and its other eighths beside it; the weighted medians of the
 proposals become the pivots, weights are counted below, at and above each pivot, and the ranges that can't hold the rank are discarded, until each
-rank is found. One pass a round does both: with its counts a partition proposes the quarters of each part between the pivots, as
+rank is found. One pass a round does both: with its counts a partition proposes the eighths of each part between the pivots, as
 one of these is the next range. When less than half of the rows are still in a range, only those are kept for the next rounds.
 """
 
@@ -52,7 +52,7 @@ def merge_digests(*digests: DataFrame) -> DataFrame:
 
 
 #: A round's pivots for each rank.
-PIVOTS = 3
+PIVOTS = 7
 PROPOSED = [("weight", "bigint"), ("rows", "bigint"), *((f"q{j}", "bigint") for j in range(1, PIVOTS + 1))]
 
 
@@ -66,7 +66,7 @@ def _marks(x: pd.DataFrame, by: list[str], value: str, parts: int, js: range) ->
 
 
 def _propose(mine: list[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """For each rank (mine) and part of its range the weight and rows that a partition has there, and where the part's weight reaches each quarter."""
+    """For each rank (mine) and part of its range the weight and rows that a partition has there, and where the part's weight reaches each eighth."""
     by, names = [*mine, "part"], [n for n, _ in PROPOSED]
 
     def gathered(parts: list[pd.DataFrame]) -> pd.DataFrame:
@@ -80,8 +80,8 @@ def _propose(mine: list[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.
     def propose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts, held = [], 0
         for x in batches:
-            groups, quarters = _marks(x.assign(rows=1), by, "code", PIVOTS + 1, range(1, PIVOTS + 1))
-            parts.append(groups[[*by, "weight", "rows"]].reset_index(drop=True).assign(**dict(zip(names[2:], quarters))))
+            groups, eighths = _marks(x.assign(rows=1), by, "code", PIVOTS + 1, range(1, PIVOTS + 1))
+            parts.append(groups[[*by, "weight", "rows"]].reset_index(drop=True).assign(**dict(zip(names[2:], eighths))))
             held += len(parts[-1])
             if held > 500_000:
                 parts = [gathered(parts)]
@@ -110,13 +110,10 @@ def multi_select(digest: DataFrame, groups: list[str], targets: dict[str, Callab
     total, done, n_open = rows.count(), [], state.count()
     names = {k: f"p_{k}" for k in mine}
     # parts of a range count from 0: even ones lie between pivots, odd ones are the pivots
-    part = reduce(lambda a, b: a + b, (F.expr(f"coalesce(int(code > get(r.pivots, {j})) + int(code >= get(r.pivots, {j})), 0)") for j in range(PIVOTS)))
+    part = reduce(lambda a, b: a + b, (F.expr(f"coalesce(int(code > get(pivots, {j})) + int(code >= get(pivots, {j})), 0)") for j in range(PIVOTS)))
     while n_open > 0:
-        # one row a group: its ranks with their ranges
-        ranges = state.groupBy(*keys).agg(F.max("size").alias("size"), F.collect_list(F.struct("target", "lo", "hi", "pivots")).alias("ranges"))
-        within = F.expr("filter(ranges, x -> (x.lo is null or code > x.lo) and (x.hi is null or code < x.hi))")
-        play = join_state(rows, ranges, keys, "inner", "size", total, size=n_open).select(*keys, "code", "weight", F.explode(within).alias("r"))
-        play = play.select(*keys, "r.target", part.alias("part"), "code", "weight")
+        play = join_state(rows, state.select(*mine, "size", "lo", "hi", "pivots"), keys, "inner", "size", total, size=n_open)
+        play = play.filter("(lo is null or code > lo) and (hi is null or code < hi)").select(*mine, part.alias("part"), "code", "weight")
         kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in play.select(*mine, "part").schema)
         told = play.mapInPandas(_propose(mine), f"{kinds}, " + ", ".join(f"{n} {t}" for n, t in PROPOSED))
         # the weighted median of the proposals, kept among them as far as its digits go
@@ -136,8 +133,10 @@ def multi_select(digest: DataFrame, groups: list[str], targets: dict[str, Callab
         state = state.filter("found is null")
         n_open, kept = state.agg(F.count("*"), F.coalesce(F.sum("inside"), F.lit(0))).first()
         if 0 < kept * 2 < total:
+            # one row a group with the ranges of its ranks, so that a row which lies in several stays one
             ranges = state.groupBy(*keys).agg(F.max("size").alias("size"), F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-            less = materialize(join_state(rows, ranges, keys, "inner", "size", total, size=n_open).filter(F.size(within) > 0).select(*keys, "code", "weight"), "digest")
+            within = F.expr("exists(ranges, x -> (x.lo is null or code > x.lo) and (x.hi is null or code < x.hi))")
+            less = materialize(join_state(rows, ranges, keys, "inner", "size", total, size=n_open).filter(within).select(*keys, "code", "weight"), "digest")
             release(rows)
             rows, total = less, less.count()
     release(rows)
