@@ -100,7 +100,9 @@ def multi_select(digest: DataFrame, groups: list[str], targets: dict[str, Callab
     """
     keys = [f"g{i}" for i in range(len(groups))]
     mine = [*keys, "target"]
-    rows = materialize(digest.select(*[F.col(g).alias(k) for g, k in zip(groups, keys)], "code", "weight"), "digest")
+    # ranges of (group, value) keep a group's values together, so that few partitions propose for it, and split a hot group among several
+    rows = digest.select(*[F.col(g).alias(k) for g, k in zip(groups, keys)], "code", "weight")
+    rows = materialize(rows.repartitionByRange(F.xxhash64(*keys), "code"), "digest")
     rank = F.map_from_arrays(F.array(*map(F.lit, targets)), F.array(*(f(F.col("n")).cast("bigint") for f in targets.values())))
     sizes = rows.groupBy(*keys).agg(F.sum("weight").alias("n"), F.count("*").alias("size"))
     state = sizes.select(*keys, "n", "size", F.explode(rank).alias("target", "rank"))
