@@ -163,11 +163,13 @@ def lookup(df: DataFrame, column: str, table_: DataFrame, key: str, limit: int =
     """Left join to a materialized table with unique keys: broadcast within the row limit.
 
     Beyond it the join shuffles, and df's rows of a key are spread over ``salts`` copies of its row in the table, so that a key
-    with a third of all rows isn't worked by one task. Null keys match nothing and are spread as well.
+    with a third of all rows isn't worked by one task. Null keys match nothing and are spread as well. Where a row goes depends on its
+    values alone (maps aside), so that a task which is run again sends it to the same place; rows equal in all columns go together.
     """
     if table_.count() <= limit:
         return df.join(F.broadcast(table_), df[column] == table_[key], "left")
-    spread = df.withColumn("__salt", F.floor(F.rand(17) * salts).cast("int"))
+    by = F.xxhash64(*(F.col(f.name) for f in df.schema if not re.search(r"\b(map|variant)\b", f.dataType.simpleString())), F.lit(17))
+    spread = df.withColumn("__by", by).withColumn("__salt", F.pmod("__by", F.lit(salts)).cast("int"))
     copies = table_.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    nulls = spread.withColumn("__key", F.coalesce(F.col(column), F.concat(F.lit("\0"), F.floor(F.rand(18) * (1 << 20)).cast("string"))))
-    return nulls.join(copies, (F.col("__key") == copies[key]) & (F.col("__salt") == F.col("__copy")), "left").drop("__key", "__salt", "__copy")
+    nulls = spread.withColumn("__key", F.coalesce(F.col(column), F.concat(F.lit("\0"), F.pmod("__by", F.lit(1 << 20)).cast("string"))))
+    return nulls.join(copies, (F.col("__key") == copies[key]) & (F.col("__salt") == F.col("__copy")), "left").drop("__by", "__key", "__salt", "__copy")

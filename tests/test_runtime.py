@@ -48,6 +48,17 @@ def test_joins_beyond_the_broadcast_limit(spark, monkeypatch):
         assert got == {("hot", "x"): 300, ("a", "y"): 1, ("b", None): 1, (None, None): 1}
 
 
+def test_lookup_places_rows_by_value(spark):
+    """Beyond the limit no row goes by chance, so that a task run again sends it where it went; maps are no hindrance."""
+    rows = spark.range(400).selectExpr("id", "if(id % 4 = 0, null, if(id % 4 = 1, 'b', 'hot')) as k", "array(id) as a", "map('x', id) as m")
+    keyed = runtime.materialize(spark.createDataFrame([("hot", "x")], "key string, v string"))
+    found = runtime.lookup(rows, "k", keyed, "key", limit=0)
+    assert found.columns == ["id", "k", "a", "m", "key", "v"]
+    assert "rand(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["id"]: r["v"] for r in found.collect()} == {i: "x" if i % 4 > 1 else None for i in range(400)}
+    assert found.count() == 400
+
+
 def test_scratch(spark):
     t = runtime.materialize(spark.range(3))
     assert os.path.isdir(t.scratch_path) and t.count() == 3
