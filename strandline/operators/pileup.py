@@ -255,7 +255,11 @@ def mean_quality(total: Column, n: Column) -> Column:
 
 def features(p: DataFrame, contigs: DataFrame, min_alt: int = 2) -> DataFrame:
     """The features of positions where at least min_alt reads of a platform differ, in the order that a model takes them."""
-    d = local_alt(dual(p)).filter((F.col("i_alt") >= min_alt) | (F.col("o_alt") >= min_alt))
+    d = dual(p)
+    if min_alt > 0:
+        # positions where no read differs are no candidates and add nothing to those near them
+        d = d.filter("i_n_mis + i_n_indel + o_n_mis + o_n_indel > 0")
+    d = local_alt(d).filter((F.col("i_alt") >= min_alt) | (F.col("o_alt") >= min_alt))
     # gc and runs are worked only in the pieces that hold such a position, and taken from the piece
     d = materialize(d.withColumn("bin", _own_bin(F.col("pos"), CHUNK, 10)), "feature_rows")
     pieces = repeat_pieces(contigs, CHUNK, 10, d.select("contig", "bin").distinct())
