@@ -213,7 +213,15 @@ def best_per_pos(spark: SparkSession, d: str) -> DataFrame:
     return U.best_per_position(_alleles(spark, d)).select("window_id", "block", "vpos", "ref", "alt")
 
 
-@query("set_seen")
+#: Blocks of a contig in order of window and block; each step of the recursion takes the next one and keeps it if no kept block of another window covers its first position.
+_SEEN = f"""{_ALLELE.replace("wd as", "recursive wd as", 1)}, ch as materialized (select *, row_number() over (partition by chrom order by window_id, block) as k from va where ref <> alt and chrom is not null),
+    sw as (select chrom, 0::bigint as k, []::struct(w bigint, b bigint, f bigint, l bigint)[] as kept from ch group by chrom union all
+    select ch.chrom, ch.k, case when len(list_filter(kept, lambda x: x.w <> ch.window_id and ch.first_pos between x.f and x.l)) = 0
+    then list_append(kept, {{'w': ch.window_id, 'b': ch.block::bigint, 'f': ch.first_pos::bigint, 'l': ch.last_pos::bigint}}) else kept end from sw join ch on ch.chrom = sw.chrom and ch.k = sw.k + 1),
+    se as (select ch.* from ch join (select u.w as window_id, u.b as block from (select unnest(kept) as u from (select * from sw qualify row_number() over (partition by chrom order by k desc) = 1))) using (window_id, block))"""
+
+
+@query("set_seen", f"with {_SEEN} select window_id, chrom, block::bigint as block, vpos::bigint as vpos, ref, alt from se")
 def set_seen(spark: SparkSession, d: str) -> DataFrame:
     return U.unseen(_alleles(spark, d)).select("window_id", "chrom", "block", "vpos", "ref", "alt")
 
@@ -222,19 +230,26 @@ def _variants(spark: SparkSession, d: str) -> DataFrame:
     return U.variants(_windows(spark, d))
 
 
-@query("sort_variants")
+_VARIANT = f"""{_SEEN}, vr as (select chrom, vpos::bigint as pos, ref, alt, least(99, trunc(-10 * log10(greatest(1 - prob::float::double, 1e-10))))::int as qual, prob::float::double as prob, delta, p_het,
+    case when p_het >= 0.5 then '0/1' else '1/1' end as gt from (select *, row_number() over (partition by window_id, vpos order by prob::float desc, block) as nth from se) where nth = 1)"""
+
+
+@query("sort_variants", f"with {_VARIANT} select chrom, pos, ref, alt, qual, round(prob, 4) as prob, round(delta, 4) as delta, round(p_het, 4) as p_het, gt from vr order by chrom, pos, ref, alt")
 def sort_variants(spark: SparkSession, d: str) -> DataFrame:
-    return _variants(spark, d).orderBy("chrom", "pos", "ref", "alt")
+    v = _variants(spark, d).select("chrom", "pos", "ref", "alt", "qual", *[F.round(F.col(c).cast("double"), 4).alias(c) for c in ("prob", "delta", "p_het")], "gt")
+    return v.orderBy("chrom", "pos", "ref", "alt")
 
 
-@query("snk_vcf")
+@query("snk_vcf", f"""with {_VARIANT} select unnest([{', '.join("'" + line.replace("\t", "' || chr(9) || '") + "'" for line in X.VCF_HEADER)}]) as value union all
+    select concat_ws(chr(9), chrom, pos, '.', ref, alt, qual, 'PASS', printf('PROB=%.3f;DELTA=%.3f;PHET=%.3f', prob, delta, p_het), 'GT', gt) from vr""")
 def snk_vcf(spark: SparkSession, d: str) -> DataFrame:
     """The file with its header, as it is read again, line by line."""
     X.write_vcf(U.vcf_rows(_variants(spark, d)), path := f"{scratch_dir(spark)}/vcf-{uuid.uuid4().hex}")
     return spark.read.text(path)
 
 
-@query("jn_variant_ref")
+@query("jn_variant_ref", f"""with {_VARIANT} select chrom, pos, ref, alt, pos > 0 and length(seq) > 0 and pos - 1 + length(ref) <= length(seq) and substr(upper(seq), pos, length(ref)) = upper(ref) as agrees
+    from vr join (select contig, seq from contigs where seq is not null) on chrom = contig""")
 def jn_variant_ref(spark: SparkSession, d: str) -> DataFrame:
     """Variants of contigs whose sequence is known, and whether it has the reference allele at their place."""
     known = table(spark, d, "contigs").filter("seq is not null").select(F.col("contig").alias("chrom"))
