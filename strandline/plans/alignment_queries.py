@@ -231,8 +231,17 @@ def agg_support(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
 
 
 _POS = "t as (select distinct chrom as contig, p::bigint as pos from (select chrom, unnest(targets_ref_pos) as p from encoded_batches) where chrom is not null and p is not null)"
-_ISL = f"""{_POS}, isl as (select contig, pos, max(case when new then pos end) over (partition by contig order by pos) as island from
+_BY_ISLAND = """isl as (select contig, pos, max(case when new then pos end) over (partition by contig order by pos) as island from
     (select *, coalesce(pos - lag(pos) over (partition by contig order by pos) > 20, true) as new from t))"""
+_ISL = f"{_POS}, {_BY_ISLAND}"
+#: Of t (contig, pos) the islands, and the clusters of each: every step of the recursion takes the next wider gap and joins the two clusters beside it if their window stays narrow enough.
+CLUSTERED = f"""{_BY_ISLAND}, gp as materialized (select contig, island, pos as a, nxt as b, row_number() over (partition by contig, island order by nxt - pos, pos) as k
+    from (select *, lead(pos) over (partition by contig, island order by pos) as nxt from isl) where nxt is not null),
+    cl as (select contig, island, 0::bigint as k, list({{'f': pos, 'l': pos, 'n': 1}}) as iv from isl group by 1, 2 union all
+    select contig, island, nk, case when rc.l - lc.f + 100 <= 130 then list_append(list_filter(iv, lambda x: x.l <> a and x.f <> b), {{'f': lc.f, 'l': rc.l, 'n': lc.n + rc.n}}) else iv end
+    from (select cl.contig, cl.island, gp.k as nk, iv, a, b, list_filter(iv, lambda x: x.l = a)[1] as lc, list_filter(iv, lambda x: x.f = b)[1] as rc from cl join gp on gp.contig = cl.contig and gp.island = cl.island and gp.k = cl.k + 1)),
+    win as (select contig, greatest(0, u.f - 50)::bigint as win_s, (u.l + 50)::bigint as win_e, u.f::bigint as core_s, (u.l + 1)::bigint as core_e, u.n::int as n
+    from (select contig, unnest(iv) as u from (select * from cl qualify row_number() over (partition by contig, island order by k desc) = 1)))"""
 
 
 @on_windows("sort_reads", f"with {_SEL} select batch_id, platform, rowno::int as rowno, aln_id, start0 from s")
@@ -274,7 +283,7 @@ def sort_gaps(spark: SparkSession, d: str) -> DataFrame:
     return number_gaps(islands(_targets(spark, d), "contig", "pos")).filter("gap is not null").select("contig", "island", "pos", "gap", "rank")
 
 
-@query("win_cluster")
+@query("win_cluster", f"with recursive {_POS}, {CLUSTERED} select contig, win_s, win_e, core_s, core_e, n from win")
 def win_cluster(spark: SparkSession, d: str) -> DataFrame:
     return cluster_windows(_targets(spark, d), "contig", "pos")
 

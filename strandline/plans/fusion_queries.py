@@ -265,6 +265,26 @@ def win_nonoverlap(spark: SparkSession, d: str) -> DataFrame:
     return p.groupBy("contig").agg(F.sum("n").alias("new_len"), F.md5(F.array_join(F.transform(digests, lambda x: x["md5"]), "")).alias("digest"), F.sum("applied").alias("applied"), F.sum("skipped").alias("skipped"))
 
 
+#: Each step of the recursion takes the next change of a contig that fits its sequence, and applies it if it begins behind those applied before.
+_CHANGED = f"""{_VARIANT}, known as (select contig, upper(seq) as seq from contigs where seq is not null),
+    c0 as (select chrom, pos as p0, ref as r0, alt as a0, case when (length(ref) > 1 or length(alt) > 1) and left(ref, 1) = left(alt, 1) then 1 else 0 end as sk from vr),
+    c1 as (select chrom, p0, r0, a0, p0 + sk - 1 as s, substr(r0, sk + 1) as cr, substr(a0, sk + 1) as ca from c0 where length(r0) > sk or length(a0) > sk),
+    c2 as (select c1.*, s + length(cr) as e, s >= 0 and s + length(cr) <= length(seq) and substr(seq, s + 1, length(cr)) = cr as fits from c1 join known on chrom = contig where seq <> ''),
+    c3 as materialized (select *, row_number() over (partition by chrom order by p0, r0, a0) as k from c2 where fits),
+    ap as (select chrom, 0::bigint as k, -1::bigint as reach, false as ok from c3 group by 1 union all
+    select c3.chrom, c3.k, case when c3.s >= reach then greatest(reach, c3.e) else reach end, c3.s >= reach from ap join c3 on c3.chrom = ap.chrom and c3.k = ap.k + 1),
+    c4 as (select chrom, s, e, ca, row_number() over w as i, coalesce(lag(e) over w, 0) as b, p0, r0, a0 from c3 join ap using (chrom, k) where ok window w as (partition by chrom order by s, p0, r0, a0)),
+    nw as (select chrom, string_agg(substr(seq, b + 1, s - b) || ca, '' order by i) as head, max(e) as e, count(*) as applied from c4 join known on chrom = contig group by 1)"""
+
+
+@query("win_nonoverlap_whole", f"""with {_CHANGED}, fin as (select contig, coalesce(head, '') || substr(seq, coalesce(e, 0) + 1) as seq, coalesce(applied, 0) as applied from known left join nw on chrom = contig)
+    select contig, length(seq) as new_len, md5(seq) as digest, applied::int as applied, (coalesce(m, 0) - applied)::int as skipped from fin left join (select chrom, count(*) as m from c2 group by 1) on chrom = contig""")
+def win_nonoverlap_whole(spark: SparkSession, d: str) -> DataFrame:
+    """The corrected sequences as contigs has them, one value each."""
+    a = U.apply_variants(materialize(_variants(spark, d), "variants"), table(spark, d, "contigs"))
+    return a.select("contig", F.length("seq").alias("new_len"), F.md5("seq").alias("digest"), "applied", "skipped")
+
+
 @query("agg_counts", f"with {_SITE} select chrom, count(distinct window_id) as windows, count(*) as sites, max(off) as max_offset from st group by 1")
 def agg_counts(spark: SparkSession, d: str) -> DataFrame:
     return _sites(spark, d).groupBy("chrom").agg(F.countDistinct("window_id").alias("windows"), F.count("*").alias("sites"), F.max("offset").alias("max_offset"))

@@ -313,14 +313,17 @@ def udf_gbm_filter(spark: SparkSession, d: str) -> DataFrame:
     return scored(f.select(*digits)).select("contig", "pos", F.round("prob", 2).alias("prob"))
 
 
-@query("flt_threshold", f"""with f as ({_features_sql(False)}), sc as (select contig, pos, 1 / (1 + exp(-(6.0 * greatest(snp_vaf_i, ind_vaf_i, snp_vaf_o, ind_vaf_o) + 0.05 * least(depth_i + depth_o, 40) + 2.0 * greatest(snp_sb_i, ind_sb_i, snp_sb_o, ind_sb_o) - 2.5))) as prob from f)
-    select contig, pos from sc where prob >= 0.5""")
+_PASSED = f"""f as ({_features_sql(False)}), sc as (select contig, pos, 1 / (1 + exp(-(6.0 * greatest(snp_vaf_i, ind_vaf_i, snp_vaf_o, ind_vaf_o) + 0.05 * least(depth_i + depth_o, 40) + 2.0 * greatest(snp_sb_i, ind_sb_i, snp_sb_o, ind_sb_o) - 2.5))) as prob from f),
+    t as (select contig, pos from sc where prob >= 0.5)"""
+
+
+@query("flt_threshold", f"with {_PASSED} select contig, pos from t")
 def flt_threshold(spark: SparkSession, d: str) -> DataFrame:
     f = features(pileup(table(spark, d, "alignments"), table(spark, d, "contigs")), table(spark, d, "contigs"))
     return scored(f).filter("prob >= 0.5").select("contig", "pos")
 
 
-@query("stage_candidates")
+@query("stage_candidates", f"with recursive {_PASSED}, {AQ.CLUSTERED} select contig, win_s, win_e, core_s, core_e, n from win")
 def stage_candidates(spark: SparkSession, d: str) -> DataFrame:
     """The candidate stage as a whole: windows around positions where the reads differ."""
     return candidate_windows(table(spark, d, "alignments"), table(spark, d, "contigs"))
