@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The pattern with which this family of tokenizers splits text before merging.
@@ -201,3 +201,10 @@ def count_tokens(df: DataFrame, keep: list[str], text: str, vocab: str | None =
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(n, pa.int64())], names=[*keep, "n_tokens"])
 
     return df.select(*keep, F.col(text).alias("__text")).mapInArrow(count, f"{schema}, n_tokens bigint" if keep else "n_tokens bigint")
+
+
+def token_bytes(spark: SparkSession, vocab: str | None = None) -> DataFrame:
+    """(token, n_bytes): how many bytes each id of the vocabulary stands for, a row for each; a vocabulary is bounded and read by the driver as by every worker."""
+    with open(vocab or default_vocab(), encoding="utf-8") as f:
+        ids = json.load(f)["model"]["vocab"]
+    return spark.createDataFrame(pa.table({"token": pa.array(ids.values(), pa.int32()), "n_bytes": pa.array([len(t) for t in ids], pa.int64())}))

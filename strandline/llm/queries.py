@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandline.llm.bpe import count_tokens, encode_corpus
+from strandline.llm.bpe import count_tokens, encode_corpus, token_bytes
 from strandline.llm.mixing import mix_report, mix_sources
 from strandline.llm.multi_select import group_percentiles, multi_select, regroup, value_digest
 from strandline.llm.packing import pack_items
@@ -160,6 +160,17 @@ def p6_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return t.groupBy("source", "lang").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
 
 
+def p6_bytes(spark: SparkSession, d: str) -> DataFrame:
+    """For each source the texts and the bytes that their tokens stand for, which must be those of the texts."""
+    size = materialize(token_bytes(spark), "token_bytes")
+    ids = encode_corpus(table(spark, d, "documents"), "source", "text")
+    # tokens are counted before they meet their sizes; texts without a token have one row with none
+    n = ids.select("source", F.explode_outer("ids").alias("id")).groupBy("source", "id").agg(F.count("*").alias("n"))
+    n_docs = table(spark, d, "documents").groupBy(F.col("source").alias("s")).agg(F.count("*").alias("n_docs"))
+    n = lookup(n, "id", size, "token").groupBy("source").agg(F.coalesce(F.sum(F.col("n") * F.col("n_bytes")), F.lit(0)).alias("n_bytes"))
+    return n.join(n_docs, F.col("source").eqNullSafe(F.col("s"))).select("source", "n_docs", "n_bytes")
+
+
 def p7_mix(spark: SparkSession, d: str) -> DataFrame:
     return mix_sources(table(spark, d, "documents"), table(spark, d, "mix_targets"))
 
@@ -169,6 +180,13 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return mix_report(materialize(mix_sources(table(spark, d, "documents"), targets), "mix"), targets)
 
 
+def p7_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """Of each source that has texts whether none of them was used more often than allowed, and whether its share of all tokens is the one it should have among these sources, to a hundredth of all."""
+    r = materialize(p7_shares(spark, d).filter("texts > 0"), "mix_reached")
+    should = F.col("target_share") / F.lit(r.agg(F.sum("target_share")).first()[0] or 1.0)
+    return r.select("source", "max_repeats", (F.col("most_repeats") <= F.col("max_repeats")).alias("repeats_kept"), (F.abs(F.col("actual_share") - should) <= 0.01).alias("share_kept"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return detect_truncation(table(spark, d, "documents")).select("doc_id").distinct()
 
@@ -188,7 +206,7 @@ def p8_limits(spark: SparkSession, d: str) -> DataFrame:
     return length_spikes(table(spark, d, "documents"), "source", "text").select("source", "unit", "length", "n")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_run_lengths, p3_found, p4_found, p4_archive_percentiles, p4_sample_percentiles, p4_day_percentiles, p4_contig_percentiles, p4_norm_bounded, p5_found, p5_packing, p5_placed, p5_mixture, p5_room, p6_ids, p6_token_counts, p7_mix, p7_shares, p8_found, p8_source_shares, p8_evidence, p8_limits)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_run_lengths, p3_found, p4_found, p4_archive_percentiles, p4_sample_percentiles, p4_day_percentiles, p4_contig_percentiles, p4_norm_bounded, p5_found, p5_packing, p5_placed, p5_mixture, p5_room, p6_ids, p6_token_counts, p6_bytes, p7_mix, p7_shares, p7_bounds, p8_found, p8_source_shares, p8_evidence, p8_limits)}
 
 #: Runs of 2 bases and more: number the events that aren't neutral, and begin a run where the base changes or the gap is wider than 2.
 _RUNS = """
@@ -220,6 +238,8 @@ ORACLE = {
     "p4_norm_bounded": """select archive_id, count(*) as n, unnest([0.07, 0.5, 0.55, 0.95])::double as prob, round(unnest(quantile_disc(norm, [0.07, 0.5, 0.55, 0.95])), 5) as norm, true as bounded
         from (select distinct archive_id, contig, pos, norm from depth_norm where norm is not null) group by 1""",
     "p5_placed": """select batch_id as item_id, n::bigint as n_cols, ((n + 1023) // 1024)::bigint as n_pieces, true as fits from (select distinct batch_id, coalesce(len(list_filter(ref_seq, lambda x: x <> 7)), 0) as n from encoded_batches)""",
+    "p6_bytes": "select source, count(*) as n_docs, coalesce(sum(strlen(text)), 0)::bigint as n_bytes from documents group by 1",
+    "p7_bounds": """select distinct source, max_repeats, true as repeats_kept, true as share_kept from mix_targets where target_share > 0 and max_repeats > 0 and source in (select source from documents where text <> '')""",
     "p8_limits": """with u as (select source, unnest([{'unit': 'chars', 'length': length(text)}, {'unit': 'bytes', 'length': strlen(text)}]) as u from documents where text is not null),
         h as (select source, u.unit as unit, u.length as length, count(*) as n from u group by all),
         w as (select *, sum(n) over (partition by source, unit order by length range between 50 preceding and 50 following) - n as near,
