@@ -66,7 +66,7 @@ def mix_sources(
     targets has source, target_share and max_repeats. total_tokens is the size to reach; the default is the largest at
     which no listed source with texts falls short of its share. A source gets share * total tokens, to half its smallest text that would still fit,
     or max_repeats times its texts if that is less. Equal texts are one text, used at most max_repeats times, under their least
-    ident among listed sources. Null and empty texts have no tokens and aren't used; sources that are null, unlisted or have share 0 or
+    ident among listed sources. Null and empty texts have no tokens and aren't used, blank ones have and are; sources that are null, unlisted or have share 0 or
     max_repeats 0 aren't either. Listed sources without texts give no rows: the others then keep their proportions. An empty docs or targets gives
     no rows. schedule makes the weight schedules from shares and epochs; the default lets repeated sources come later.
     """
