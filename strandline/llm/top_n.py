@@ -4,7 +4,7 @@ A row's place in its group is an order-preserving code of two words: its score,
 so that higher is better and the smaller identifier wins a tie. Every round counts, for all undecided groups at once, the
 rows above the midpoints that halve the group's remaining code range ``bits`` times, keeps the one part that holds the
 cutoff, and goes on inside it. No group is sorted or gathered; a group with a third of all rows costs what its
-counts cost.
+counts cost. When less than half of the rows lie in a range, only those are read in the next rounds.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.runtime import join_state, materialize, order_code
+from strandline.runtime import join_state, materialize, order_code, release
 
 LOWEST = -(2**63)
 
@@ -41,10 +41,10 @@ def top_n_per_group(df: DataFrame, group: str, score: str, ident: str, n: int, b
     sizes = rows.groupBy("g").agg(F.count("*").alias("size"), F.min("s").alias("lo"), F.max("s").alias("hi")).filter(F.col("size") > n)
     # word: 0 while the score is searched, 1 while the identifier is among rows of the cutoff score s_cut
     state = materialize(sizes.select("g", "size", F.lit(0).alias("word"), "lo", "hi", F.lit(n).cast("bigint").alias("need"), F.lit(LOWEST).alias("s_cut")), "top_n_state")
-    play, decided = rows, []
-    while not state.isEmpty():
+    play, held, decided, n_open = rows, total, [], state.count()
+    while n_open:
         ranged = state.withColumn("shift", F.greatest(_start(F.col("lo"), F.col("hi")) - bits, F.lit(0)))
-        inside = join_state(play, materialize(ranged, "top_n_ranges"), ["g"], "inner", "size", total)
+        inside = join_state(play, materialize(ranged, "top_n_ranges"), ["g"], "inner", "size", total, size=n_open)
         inside = inside.withColumn("code", F.when(F.col("word") == 0, F.col("s")).otherwise(F.col("j")))
         inside = inside.filter("(word = 0 or s = s_cut) and code between lo and hi").withColumn("part", F.expr("shiftright(code, shift)"))
         counts = inside.groupBy("g", "size", "word", "need", "s_cut", "part").agg(F.count("*").alias("c"), F.min("code").alias("lo"), F.max("code").alias("hi"))
@@ -56,6 +56,9 @@ def top_n_per_group(df: DataFrame, group: str, score: str, ident: str, n: int, b
         decided.append(at.filter(exact).select("g", "size", F.when(F.col("word") == 0, F.col("lo")).otherwise(F.col("s_cut")).alias("s_cut"), F.when(F.col("word") == 0, F.lit(LOWEST)).otherwise(F.col("lo")).alias("j_cut")))
         tied = (F.col("word") == 0) & (F.col("lo") == F.col("hi"))
         open_ = at.filter(~exact)
+        n_open, left = open_.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
+        if not n_open:
+            break
         state = materialize(
             open_.select(
                 "g", "size",
@@ -66,6 +69,15 @@ def top_n_per_group(df: DataFrame, group: str, score: str, ident: str, n: int, b
             ),
             "top_n_state",
         )
+        if left * 2 < held:
+            # only the rows between the bounds of their group can still be at its cutoff
+            within = F.expr("if(word = 0, s between lo and hi, s = s_cut and j between lo and hi)")
+            less = materialize(join_state(play, state, ["g"], "inner", "size", total, size=n_open).filter(within).select("g", "s", "j"), "top_n_rows")
+            if play is not rows:
+                release(play)
+            play, held = less, left
+    if play is not rows:
+        release(play)
     if decided:
         cuts = decided[0]
         for part in decided[1:]:
