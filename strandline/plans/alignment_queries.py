@@ -11,6 +11,7 @@ from strandline.operators import alignment_filter as A
 from strandline.operators import encode as E
 from strandline.operators.clusters import cluster_windows, number_gaps
 from strandline.operators.intervals import islands, overlap_join
+from strandline.operators.window_cells import cell_sums
 from strandline.plans.function_queries import SQL_CLIP, SQL_MD, sql_sum
 from strandline.runtime import materialize, table
 
@@ -136,15 +137,16 @@ _SEL = f"""{_PAIR}, k as (select * from pr where (clip_ratio <= sr and clip_len
     order by round(greatest(ov, 0) - clip_ratio * 100 + aln_len / mean_len + mapq, 6) desc, aln_id) as rank from k) where rank <= 30)"""
 
 
-def on_windows(name: str, sql: str):  # noqa: ANN201
+def on_windows(name: str, sql: str, cells: str | None = None):  # noqa: ANN201
     """Registers a query of a window's reads twice: under its name by the interval of the listed targets, which is the interval of its SQL, and as name_core by the
-    window's core, as the stage itself chooses reads; f takes the reads of all windows.
+    window's core, as the stage itself chooses reads; f takes the reads of all windows, or, where cells names them, the sums of window_cells.cell_sums.
     """
 
     def add(f):  # noqa: ANN001, ANN202
-        QUERIES[name] = lambda spark, d: f(spark, d, _by_targets(spark, d))
+        QUERIES[name] = lambda spark, d: f(spark, d, _sums_by_targets(spark, d, cells) if cells else _by_targets(spark, d))
         ORACLE[name] = sql
-        QUERIES[f"{name}_core"] = lambda spark, d: f(spark, d, E.window_reads(table(spark, d, "alignments"), windows(spark, d)))
+        by_window = lambda spark, d: E.window_reads(table(spark, d, "alignments"), windows(spark, d))
+        QUERIES[f"{name}_core"] = lambda spark, d: f(spark, d, cell_sums(table(spark, d, "alignments"), windows(spark, d), cells, table(spark, d, "contigs")) if cells else by_window(spark, d))
         by_core = sql.replace("list_min(targets_ref_pos) as t_min, list_max(targets_ref_pos) as t_max", "core_s as t_min, core_e as t_max")
         ORACLE[f"{name}_core"] = by_core.replace("where t_min < t_max)", "where t_min < t_max and start0 < win_e and end0 > win_s)")
         return f
@@ -152,9 +154,16 @@ def on_windows(name: str, sql: str):  # noqa: ANN201
     return add
 
 
+def _target_spans(spark: SparkSession, d: str) -> DataFrame:
+    return windows(spark, d).withColumn("t_min", F.array_min("targets_ref_pos")).withColumn("t_max", F.array_max("targets_ref_pos"))
+
+
 def _by_targets(spark: SparkSession, d: str) -> DataFrame:
-    w = windows(spark, d).withColumn("t_min", F.array_min("targets_ref_pos")).withColumn("t_max", F.array_max("targets_ref_pos"))
-    return E.window_reads(table(spark, d, "alignments"), w, span=("t_min", "t_max"), reach=False)
+    return E.window_reads(table(spark, d, "alignments"), _target_spans(spark, d), span=("t_min", "t_max"), reach=False)
+
+
+def _sums_by_targets(spark: SparkSession, d: str, cells: str) -> DataFrame:
+    return cell_sums(table(spark, d, "alignments"), _target_spans(spark, d), cells, table(spark, d, "contigs"), span=("t_min", "t_max"), reach=False)
 
 
 @on_windows("flt_target_overlap", f"with {_PAIR} select batch_id, aln_id, greatest(ov, 0)::bigint as win_overlap from pr")

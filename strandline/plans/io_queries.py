@@ -38,9 +38,9 @@ def query(name: str, sql: str | None = None):  # noqa: ANN201
     return add
 
 
-def on_windows(name: str, sql: str):  # noqa: ANN201
+def on_windows(name: str, sql: str, cells: str | None = None):  # noqa: ANN201
     def add(f):  # noqa: ANN001, ANN202
-        AQ.on_windows(name, sql)(f)
+        AQ.on_windows(name, sql, cells)(f)
         for n in (name, f"{name}_core"):
             QUERIES[n], ORACLE[n] = AQ.QUERIES[n], AQ.ORACLE[n]
         return f
@@ -238,12 +238,10 @@ def fn_cell_code(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
     return _coded(spark, d, pairs)[1].groupBy("batch_id", "platform", "cc").agg(F.count("*").alias("n"))
 
 
-@on_windows("flt_col_support", f"with {_CODE}, dep as (select batch_id, count(*) as depth from s group by 1) select batch_id, col::bigint as col, variants, depth from (select batch_id, col, count(*) filter (cc in (2, 3, 4)) as variants from cc group by 1, 2) join dep using (batch_id) where variants >= greatest(2, 0.01 * depth)")
-def flt_col_support(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
+@on_windows("flt_col_support", f"with {_CODE}, dep as (select batch_id, count(*) as depth from s group by 1) select batch_id, col::bigint as col, variants, depth from (select batch_id, col, count(*) filter (cc in (2, 3, 4)) as variants from cc group by 1, 2) join dep using (batch_id) where variants >= greatest(2, 0.01 * depth)", cells="differing")
+def flt_col_support(spark: SparkSession, d: str, sums: DataFrame) -> DataFrame:
     """Columns where at least 2 reads, and 1 % of the rows, differ from the reference; every selected row counts as depth."""
-    s, c = _coded(spark, d, pairs)
-    v = c.groupBy("batch_id", "col").agg(F.count_if(F.col("cc").isin(2, 3, 4)).alias("variants"))
-    return v.join(s.groupBy("batch_id").agg(F.count("*").alias("depth")), "batch_id").filter("variants >= greatest(2, 0.01 * depth)").select("batch_id", "col", "variants", "depth")
+    return sums
 
 
 @on_windows("udf_tensor_features", f"with {AQ._CELLS} select batch_id, platform, col::bigint as col, count(*) as n, round(sum(case when bq >= 0 then bq else 40 * bq end)::double / (40 * count(*)), 6) as bq from cell group by 1, 2, 3")
