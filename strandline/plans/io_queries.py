@@ -226,16 +226,9 @@ def win_ref_expand(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
 _CODE = f"""{AQ._CELLS}, {_REFEX.removeprefix(_ASOF + ', ')}, cc as (select cell.*, case when op = 'D' then 3 when code = 6 then 4 when base = code then 1 else 2 end as cc from cell join re using (batch_id, col))"""
 
 
-def _coded(spark: SparkSession, d: str, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    s, w = E.select_reads(pairs), AQ.windows(spark, d)
-    cols = E.columns(w, E.insertions(s))
-    c = E.cells(s, cols).join(_ref_columns(spark, d, cols), ["batch_id", "col"])
-    return s, c.withColumn("cc", F.when(F.col("op") == "D", codes.CELL_DELETION).otherwise(S.cell_code(F.col("base"), F.col("code"))))
-
-
-@on_windows("fn_cell_code", f"with {_CODE} select batch_id, platform, cc, count(*) as n from cc group by 1, 2, 3")
-def fn_cell_code(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
-    return _coded(spark, d, pairs)[1].groupBy("batch_id", "platform", "cc").agg(F.count("*").alias("n"))
+@on_windows("fn_cell_code", f"with {_CODE} select batch_id, platform, cc, count(*) as n from cc group by 1, 2, 3", cells="codes")
+def fn_cell_code(spark: SparkSession, d: str, sums: DataFrame) -> DataFrame:
+    return sums
 
 
 @on_windows("flt_col_support", f"with {_CODE}, dep as (select batch_id, count(*) as depth from s group by 1) select batch_id, col::bigint as col, variants, depth from (select batch_id, col, count(*) filter (cc in (2, 3, 4)) as variants from cc group by 1, 2) join dep using (batch_id) where variants >= greatest(2, 0.01 * depth)", cells="differing")

@@ -32,6 +32,9 @@ def tables(spark):
         reads += [row] * rng.choice([1, 1, 2])
     wins = [(i, rng.choice(["c", "d", None]), s, s + rng.randrange(0, 130), s + 20, s + 20 + rng.choice([0, 9, 30])) for i, s in enumerate(rng.choice([rng.randrange(-30, 700), rng.randrange(2900)]) for _ in range(150))]
     wins += [(1000, "c", 100, 2600, 300, 2500), (1001, "c", None, 200, 100, 150), (None, "c", 0, 200, 100, 150)]
+    # reads that delete and insert at the same places, in a window of their own
+    reads += [(i, "c", 500, 572, 0, 60, "ILLUMINA", [("M", 30), ("D", 2), ("M", 20), ("I", 3), ("M", 20)], "ACGT" * 18 + "A", [30] * 73) for i in range(400, 406)]
+    wins.append((1002, "c", 480, 600, 500, 560))
     contigs = [("c", "".join(rng.choice("ACGTNa") for _ in range(1500))), ("d", None)]
     return spark.createDataFrame(reads, READ), spark.createDataFrame(wins, WINDOW), spark.createDataFrame(contigs, "contig string, seq string")
 
@@ -77,7 +80,11 @@ def test_differing_columns_without_a_shuffle_of_pairs_or_cells(tables, monkeypat
     same(tables, "differing", depth=3)
 
 
-@pytest.mark.parametrize("name", ["flt_col_support_core"])
+def test_codes_by_platform(tables):
+    same(tables, "codes")
+
+
+@pytest.mark.parametrize("name", ["flt_col_support_core", "fn_cell_code"])
 def test_the_query_sums_its_cells_where_they_are_made(spark, name):
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.lstrip().startswith("MapInArrow")
