@@ -221,12 +221,10 @@ _CELLS = f"""{_COLS}, o2 as (select ops.*, a.seq, a.qual from ops join a using (
     from ce join cm on cm.batch_id = ce.batch_id and cm.pos = ce.pos where (op = 'D' or q < length(seq)) and (op <> 'I' or len <= ins))"""
 
 
-@on_windows("udf_encode_window", f"with {_CELLS} select batch_id, platform, count(*) as n_cells, sum(base)::bigint as base_sum, sum(bq)::bigint as bq_sum, sum(col * (base + 1))::bigint as col_sum from cell group by 1, 2")
-def udf_encode_window(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
+@on_windows("udf_encode_window", f"with {_CELLS} select batch_id, platform, count(*) as n_cells, sum(base)::bigint as base_sum, sum(bq)::bigint as bq_sum, sum(col * (base + 1))::bigint as col_sum from cell group by 1, 2", cells="sums")
+def udf_encode_window(spark: SparkSession, d: str, sums: DataFrame) -> DataFrame:
     """The encoded cells of every window, summed up by platform."""
-    w, s = windows(spark, d), E.select_reads(pairs)
-    c = E.cells(s, E.columns(w, E.insertions(s)))
-    return c.groupBy("batch_id", "platform").agg(F.count("*").alias("n_cells"), F.sum("base").cast("bigint").alias("base_sum"), F.sum("bq").cast("bigint").alias("bq_sum"), F.sum(F.col("col") * (F.col("base") + 1)).cast("bigint").alias("col_sum"))
+    return sums
 
 
 @on_windows("agg_support", f"""with {_CELLS} select batch_id, col::bigint as col, count(*) filter (op in ('I', 'D')) as variants, (select count(*) from s where s.batch_id = cell.batch_id) as depth from cell group by batch_id, col
