@@ -228,13 +228,10 @@ def udf_encode_window(spark: SparkSession, d: str, sums: DataFrame) -> DataFrame
 
 
 @on_windows("agg_support", f"""with {_CELLS} select batch_id, col::bigint as col, count(*) filter (op in ('I', 'D')) as variants, (select count(*) from s where s.batch_id = cell.batch_id) as depth from cell group by batch_id, col
-    having count(*) filter (op in ('I', 'D')) >= greatest(2, 0.01 * (select count(*) from s where s.batch_id = cell.batch_id))""")
-def agg_support(spark: SparkSession, d: str, pairs: DataFrame) -> DataFrame:
+    having count(*) filter (op in ('I', 'D')) >= greatest(2, 0.01 * (select count(*) from s where s.batch_id = cell.batch_id))""", cells="indels")
+def agg_support(spark: SparkSession, d: str, sums: DataFrame) -> DataFrame:
     """Columns with at least 2, and 1 % of the rows, that insert or delete there; depth counts every selected row, gaps too."""
-    w, s = windows(spark, d), E.select_reads(pairs)
-    c = E.cells(s, E.columns(w, E.insertions(s))).groupBy("batch_id", "col").agg(F.count_if(F.col("op").isin("I", "D")).alias("variants"))
-    depth = s.groupBy("batch_id").agg(F.count("*").alias("depth"))
-    return c.join(depth, "batch_id").filter("variants >= greatest(2, 0.01 * depth)").select("batch_id", "col", "variants", "depth")
+    return sums
 
 
 _POS = "t as (select distinct chrom as contig, p::bigint as pos from (select chrom, unnest(targets_ref_pos) as p from encoded_batches) where chrom is not null and p is not null)"

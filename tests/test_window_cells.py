@@ -88,7 +88,11 @@ def test_sums_by_platform(tables):
     same(tables, "sums")
 
 
-@pytest.mark.parametrize("name", ["flt_col_support_core", "fn_cell_code", "udf_encode_window_core"])
+def test_indels_by_column(tables):
+    same(tables, "indels")
+
+
+@pytest.mark.parametrize("name", ["flt_col_support_core", "fn_cell_code", "udf_encode_window_core", "agg_support_core"])
 def test_the_query_sums_its_cells_where_they_are_made(spark, name):
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.lstrip().startswith("MapInArrow")
