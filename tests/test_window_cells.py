@@ -92,7 +92,13 @@ def test_indels_by_column(tables):
     same(tables, "indels")
 
 
-@pytest.mark.parametrize("name", ["flt_col_support_core", "fn_cell_code", "udf_encode_window_core", "agg_support_core"])
+def test_codes_of_parted_regions_and_small_blocks(tables, monkeypatch):
+    for name, value in (("PAIRS", 7), ("CELLS", 50), ("HOT", 500)):
+        monkeypatch.setattr(C, name, value)
+    same(tables, "codes", depth=3)
+
+
+@pytest.mark.parametrize("name", ["flt_col_support_core", "fn_cell_code", "udf_encode_window_core", "agg_support_core", "fn_cell_code_core"])
 def test_the_query_sums_its_cells_where_they_are_made(spark, name):
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.lstrip().startswith("MapInArrow")
