@@ -98,7 +98,11 @@ def test_codes_of_parted_regions_and_small_blocks(tables, monkeypatch):
     same(tables, "codes", depth=3)
 
 
-@pytest.mark.parametrize("name", ["flt_col_support_core", "fn_cell_code", "udf_encode_window_core", "agg_support_core", "fn_cell_code_core"])
+def test_differing_columns_where_the_span_alone_tells(tables):
+    same(tables, "differing", reach=False)
+
+
+@pytest.mark.parametrize("name", ["flt_col_support_core", "fn_cell_code", "udf_encode_window_core", "agg_support_core", "fn_cell_code_core", "flt_col_support"])
 def test_the_query_sums_its_cells_where_they_are_made(spark, name):
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.lstrip().startswith("MapInArrow")
