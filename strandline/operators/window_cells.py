@@ -47,6 +47,7 @@ def cell_sums(reads: DataFrame, windows: DataFrame, what: str, contigs: DataFram
 
     Each window lies in one region of its contig, by the start of its span, and each read in all regions where a window may share a base with it. So the reads, the windows and
     the reference are shuffled once, and a task holds the reads of one region at a time. Regions with very many pairs are parted by window.
+    Qualities, as long as the sequences, are only moved for sums; nothing else looks at them.
     """
     w = windows.select("batch_id", F.col("chrom").alias("contig"), *[F.col(c).cast("bigint").alias(n) for c, n in ((span[0], "s"), (span[1], "e"), ("win_s", "win_s"), ("win_e", "win_e"))])
     w = w.filter("batch_id is not null and contig is not null and e > s and win_e > win_s")
@@ -65,7 +66,7 @@ def cell_sums(reads: DataFrame, windows: DataFrame, what: str, contigs: DataFram
 
     r = usable_reads(reads, min_mq).filter("end0 > start0")
     code = F.expr("case " + " ".join(f"when platform = '{n}' then {i}" for i, n in enumerate(NAMES)) + " end")
-    r = records(r.select("aln_id", "contig", F.col("start0").alias("s"), F.col("end0").alias("e"), code.alias("platform"), "mapq", "aln_len", "clip_ratio", "backbone", "trust", "cigar", "seq", "qual"))
+    r = records(r.select("aln_id", "contig", F.col("start0").alias("s"), F.col("end0").alias("e"), code.alias("platform"), "mapq", "aln_len", "clip_ratio", "backbone", "trust", "cigar", "seq", *["qual"] * (what == "sums")))
     r = laid(r.withColumn("id", F.coalesce("aln_id", F.lit(-(2**63))))).join(hot, ["contig", "level", "bin"], "left")
     r = r.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
     w = w.withColumnRenamed("batch_id", "id").join(hot, ["contig", "level", "bin"], "left").withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int"))

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -106,3 +107,12 @@ def test_differing_columns_where_the_span_alone_tells(tables):
 def test_the_query_sums_its_cells_where_they_are_made(spark, name):
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.lstrip().startswith("MapInArrow")
+
+
+@pytest.mark.parametrize("name", ["fn_cell_code_core", "flt_col_support"])
+def test_qualities_stay_where_only_bases_are_compared(spark, name):
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    scans = [line for line in plan.splitlines() if "Relation [" in line and "cigar#" in line]
+    # the table's own column of qualities is named where it is scanned and nowhere above
+    own = {q for line in scans for q in re.findall(r"\bqual#\d+", line)}
+    assert own and not any(own & {*re.findall(r"\bqual#\d+", line)} for line in plan.splitlines() if line not in scans)
