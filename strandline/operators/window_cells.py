@@ -20,6 +20,8 @@ LEAST = 7
 #: A region with more pairs than HOT is parted, into PARTS at most; a task works on PAIRS pairs or CELLS cells at a time.
 HOT, PARTS = 32_000_000, 32
 PAIRS, CELLS = 500_000, 1_000_000
+#: A record with more copies than this is made single before the copies are moved to their regions.
+COPIES = 8
 
 NAMES = sorted({*codes.READ_LIMITS, "PACBIO"})
 OPS = ["M", "=", "X", "I", "D", "N", "S"]
@@ -47,7 +49,7 @@ def cell_sums(reads: DataFrame, windows: DataFrame, what: str, contigs: DataFram
 
     Each window lies in one region of its contig, by the start of its span, and each read in all regions where a window may share a base with it. So the reads, the windows and
     the reference are shuffled once, and a task holds the reads of one region at a time. Regions with very many pairs are parted by window.
-    Qualities, as long as the sequences, are only moved for sums; nothing else looks at them.
+    Qualities, as long as the sequences, are only moved for sums; nothing else looks at them. Copies of a record meet in their regions and are dropped there.
     """
     w = windows.select("batch_id", F.col("chrom").alias("contig"), *[F.col(c).cast("bigint").alias(n) for c, n in ((span[0], "s"), (span[1], "e"), ("win_s", "win_s"), ("win_e", "win_e"))])
     w = w.filter("batch_id is not null and contig is not null and e > s and win_e > win_s")
@@ -66,7 +68,7 @@ def cell_sums(reads: DataFrame, windows: DataFrame, what: str, contigs: DataFram
 
     r = usable_reads(reads, min_mq).filter("end0 > start0")
     code = F.expr("case " + " ".join(f"when platform = '{n}' then {i}" for i, n in enumerate(NAMES)) + " end")
-    r = records(r.select("aln_id", "contig", F.col("start0").alias("s"), F.col("end0").alias("e"), code.alias("platform"), "mapq", "aln_len", "clip_ratio", "backbone", "trust", "cigar", "seq", *["qual"] * (what == "sums")))
+    r = _one_version(r.select("aln_id", "contig", F.col("start0").alias("s"), F.col("end0").alias("e"), code.alias("platform"), "mapq", "aln_len", "clip_ratio", "backbone", "trust", "cigar", "seq", *["qual"] * (what == "sums")))
     r = laid(r.withColumn("id", F.coalesce("aln_id", F.lit(-(2**63))))).join(hot, ["contig", "level", "bin"], "left")
     r = r.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
     w = w.withColumnRenamed("batch_id", "id").join(hot, ["contig", "level", "bin"], "left").withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int"))
@@ -88,6 +90,23 @@ def cell_sums(reads: DataFrame, windows: DataFrame, what: str, contigs: DataFram
     return rows.mapInArrow(run, OUT[what])
 
 
+def _one_version(r: DataFrame) -> DataFrame:
+    """r with a single version of each record, in COPIES equal rows at most.
+
+    That a record's rows are equal is told by hashes, so only records that were delivered in several versions or very often are shuffled; all are, if these are too many to be broadcast.
+    """
+    content = [c for c in ("contig", "s", "e", "platform", "mapq", "cigar", "seq", "qual") if c in r.columns]
+    odd = r.select("aln_id", F.xxhash64(*content).alias("h")).groupBy("aln_id").agg(F.min("h").alias("least"), F.max("h").alias("most"), F.count("*").alias("n"))
+    odd = materialize(odd.filter(f"least <> most or n > {COPIES}").select(F.col("aln_id").alias("odd_id")), "odd_records")
+    n = odd.count()
+    if n > BROADCAST_ROWS:
+        return records(r)
+    if not n:
+        return r
+    same = r["aln_id"].eqNullSafe(odd["odd_id"])
+    return r.join(F.broadcast(odd), same, "left_anti").unionByName(records(r.join(F.broadcast(odd), same, "left_semi")))
+
+
 def _shaped(df: DataFrame, kind: int) -> DataFrame:
     have = {*df.columns}
     value = lambda n: F.lit(kind) if n == "kind" else F.col(n) if n in have else F.lit(None)
@@ -168,7 +187,7 @@ def _blocks(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 
 
 class _Region:
-    """Whole regions: their reads in order of region, platform, start and name, and their windows."""
+    """Whole regions: their reads in order of region, platform, start and name, each once, and their windows."""
 
     def __init__(self, t: pa.Table, what: str, reach: bool, depth: int, max_insert: int, pairs: int, cells: int) -> None:
         self.what, self.reach, self.depth, self.max_insert, self.pairs, self.cells = what, reach, depth, max_insert, pairs, cells
@@ -177,7 +196,10 @@ class _Region:
         held = np.isin(r.column("g").to_numpy(), self.w.column("g").to_numpy())
         r = r.filter(pa.array(held))
         r = r.take(pa.array(np.lexsort((_ints(r, "id"), _ints(r, "s"), _ints(r, "platform"), _ints(r, "g")))))
-        self.r, self.ref = r, t.filter(pa.array(kind == 2))
+        key = [_ints(r, c) for c in ("g", "platform", "s", "id")]
+        again = np.zeros(r.num_rows, bool)
+        again[1:] = np.all([x[1:] == x[:-1] for x in key], axis=0)
+        self.r, self.ref = r.filter(pa.array(~again)), t.filter(pa.array(kind == 2))
 
     def batches(self) -> Iterator[pa.RecordBatch]:
         w, r = self.w, self.r

@@ -116,3 +116,24 @@ def test_qualities_stay_where_only_bases_are_compared(spark, name):
     # the table's own column of qualities is named where it is scanned and nowhere above
     own = {q for line in scans for q in re.findall(r"\bqual#\d+", line)}
     assert own and not any(own & {*re.findall(r"\bqual#\d+", line)} for line in plan.splitlines() if line not in scans)
+
+
+@pytest.mark.parametrize("name", ["flt_col_support", "fn_cell_code_core"])
+def test_copies_of_a_read_are_dropped_in_its_region(spark, name):
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Aggregate \[aln_id#", plan)
+
+
+@pytest.mark.parametrize("limit", [200_000, 0])
+def test_records_in_several_versions_or_many_copies(spark, tables, limit, monkeypatch):
+    monkeypatch.setattr(C, "BROADCAST_ROWS", limit)
+    reads, windows, contigs = tables
+    windows = windows.filter("batch_id = 1002")
+    row = (900, "c", 500, 560, 0, 60, "ILLUMINA", [("M", 60)], "A" * 60, [30] * 60)
+    sums = lambda rows: sorted(map(tuple, C.cell_sums(reads.unionByName(spark.createDataFrame(rows, READ)), windows, "codes", contigs).collect()))
+    # of two versions one counts, whichever it is; copies and records without a name count once
+    there, off, unnamed = (*row[:2], 510, 570, *row[4:]), (*row[:8], "C" * 60, row[9]), (None, *row[1:])
+    assert sums([row, there, row]) in (sums([row]), sums([there]))
+    assert sums([row, off]) in (sums([row]), sums([off]))
+    assert sums([row] * 30) == sums([row])
+    assert sums([unnamed, unnamed]) == sums([unnamed])
